@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspan.llm import encoding, groups, packing, quota
+from quillspan.llm import encoding, groups, packing, quota, runs
 from quillspan.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,27 @@ def p2_splits(spark: SparkSession, d: str) -> DataFrame:
     return groups.grouped_split(rows, "sample_id", _repo_links(), table(spark, d, "split_targets"))
 
 
+# --- 4: repeated consecutive events -------------------------------------------------------
+
+_ROLLOUT = ["sample_id", "rollout"]
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "rollouts").select(*_ROLLOUT, "commands")
+    events = runs.command_events(rows, _ROLLOUT, ms=None)
+    found = runs.collapse_runs(events, [*_ROLLOUT, "version"]).where("n >= 2")
+    return found.select(*_ROLLOUT, "first_pos", "last_pos").distinct()
+
+
+@query
+def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "rollouts").select(*_ROLLOUT, "commands", "cmd_ms")
+    events = runs.command_events(rows, _ROLLOUT, text=True)
+    found = runs.collapse_runs(events, [*_ROLLOUT, "version"], carry=["command"])
+    return found.select(*_ROLLOUT, "first_pos", "last_pos", "n", "total_ms", "command").distinct()
+
+
 # --- 5: sample matching target proportions ------------------------------------------------
 
 _CELL = ["phase_wanted", "source"]
