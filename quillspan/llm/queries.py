@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspan.llm import encoding, groups, packing, quota, runs
+from quillspan.llm import encoding, groups, overlap, packing, quota, runs
 from quillspan.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,44 @@ def query(f: Query) -> Query:
     return f
 
 
+# --- 1: the same or nearly the same records across splits ----------------------------------
+
+
+def _overlaps(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "prefixes").select("sample_id", "split", "messages")
+    return overlap.split_overlaps(
+        rows,
+        "sample_id",
+        overlap.spoken_words(F.col("messages")),
+        F.col("split") == "train",
+        F.col("split").isin("validation", "test"),
+    )
+
+
+@query
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    a, b = F.col("sample_id_t"), F.col("sample_id_e")
+    pairs = _overlaps(spark, d)
+    return pairs.select(F.least(a, b).alias("sample_id_a"), F.greatest(a, b).alias("sample_id_b")).distinct()
+
+
+@query
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps per split and source of the evaluation prefix: pairs, and prefixes of each side."""
+    own = table(spark, d, "prefixes").where("split in ('validation', 'test')")
+    own = own.select(F.col("sample_id").alias("sample_id_e"), "split", "source").distinct()
+    return (
+        _overlaps(spark, d)
+        .join(own, "sample_id_e")
+        .groupBy("split", "source")
+        .agg(
+            F.count_distinct("sample_id_e", "sample_id_t").alias("n_pairs"),
+            F.count_distinct("sample_id_e").alias("n_eval"),
+            F.count_distinct("sample_id_t").alias("n_train"),
+        )
+    )
+
+
 # --- 2: splits that keep related records together -----------------------------------------
 
 def _repo_links() -> dict:
