@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspan.llm import encoding, groups, overlap, packing, quota, runs
+from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, runs
 from quillspan.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,25 @@ def p2_splits(spark: SparkSession, d: str) -> DataFrame:
     return groups.grouped_split(rows, "sample_id", _repo_links(), table(spark, d, "split_targets"))
 
 
+# --- 3: broken prompt and response pairs ---------------------------------------------------
+
+_PAIR = ["sample_id", "chosen_rollout", "rejected_rollout"]
+
+
+def _defects(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.defective_answers(table(spark, d, "dpo"), _PAIR)
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _defects(spark, d).where("place = 1").drop("place").distinct()
+
+
+@query
+def p3_all_defects(spark: SparkSession, d: str) -> DataFrame:
+    return _defects(spark, d).distinct()
+
+
 # --- 4: repeated consecutive events -------------------------------------------------------
 
 _ROLLOUT = ["sample_id", "rollout"]
