@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, runs
+from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, residue, runs
 from quillspan.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,40 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p7_summary(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_summary(p7_containers(spark, d))
+
+
+# --- 8: template residue and error pages ---------------------------------------------------
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    host = F.coalesce(groups.repo_key(F.col("repo")), F.lit(""))
+    return table(spark, d, "documents").withColumn("host", host)
+
+
+@query
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = _documents(spark, d)
+    model = residue.train(rows, "doc_id", "text", "host")
+    return residue.find_residue(rows, "doc_id", "text", model).select("doc_id").distinct()
+
+
+@query
+def p8_lines(spark: SparkSession, d: str) -> DataFrame:
+    rows = _documents(spark, d)
+    model = residue.train(rows, "doc_id", "text", "host")
+    found = residue.find_residue(rows, "doc_id", "text", model)
+    return found.select("doc_id", "kind", "line", F.round("score", 3).alias("score"))
+
+
+@query
+def p8_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus without documents of residue."""
+    return table(spark, d, "documents").join(p8_found(spark, d), "doc_id", "left_anti")
+
+
+@query
+def p8_validation(spark: SparkSession, d: str) -> DataFrame:
+    """What the classifier reaches on hosts it has not seen."""
+    report = residue.validate(_documents(spark, d), "doc_id", "text", "host")
+    rows = [(name, float(value)) for name, value in report.items()]
+    return spark.createDataFrame(rows, "measure string, value double")
