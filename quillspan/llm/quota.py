@@ -87,37 +87,37 @@ def quota_sample(
         )
     )
     margin = F.col("target") * 1.02 + 6 * F.sqrt("target") + 6
-    cells = cut_lineage(cells.withColumn("p", F.least(F.lit(1.0), F.try_divide(margin, F.col("available")))))
-    drawn = pool.join(F.broadcast(cells), labels).withColumn("u", _unit(seed, F.col(key)))
-    accepted = drawn.where(F.col("u") < F.col("p"))
+    cells = cut_lineage(cells.withColumn("__p", F.least(F.lit(1.0), F.try_divide(margin, F.col("available")))))
+    drawn = pool.join(F.broadcast(cells), labels).withColumn("__u", _unit(seed, F.col(key)))
+    accepted = drawn.where(F.col("__u") < F.col("__p"))
     short = (
-        cells.join(accepted.groupBy(*labels).agg(F.count(F.lit(1)).alias("n")), labels, "left")
-        .where(F.coalesce("n", F.lit(0)) < F.least("target", "available"))
+        cells.join(accepted.groupBy(*labels).agg(F.count(F.lit(1)).alias("__n")), labels, "left")
+        .where(F.coalesce("__n", F.lit(0)) < F.least("target", "available"))
         .select(*labels)
     )
     short = cut_lineage(short)
     if not short.isEmpty():
         again = cells.join(F.broadcast(short.withColumn("__s", F.lit(True))), labels, "left")
-        cells = again.withColumn("p", F.when(F.col("__s"), 1.0).otherwise(F.col("p"))).drop("__s")
-        drawn = pool.join(F.broadcast(cells), labels).withColumn("u", _unit(seed, F.col(key)))
-        accepted = drawn.where(F.col("u") < F.col("p"))
+        cells = again.withColumn("__p", F.when(F.col("__s"), 1.0).otherwise(F.col("__p"))).drop("__s")
+        drawn = pool.join(F.broadcast(cells), labels).withColumn("__u", _unit(seed, F.col(key)))
+        accepted = drawn.where(F.col("__u") < F.col("__p"))
     accepted = cut_lineage(
-        accepted.withColumn("bucket", F.floor(F.col("u") / F.col("p") * BUCKETS).cast("int"))
+        accepted.withColumn("__bucket", F.floor(F.col("__u") / F.col("__p") * BUCKETS).cast("int"))
     )
-    upto = Window.partitionBy(*labels).orderBy("bucket")
-    counts = accepted.groupBy(*labels, "bucket", "target").agg(F.count(F.lit(1)).alias("n"))
-    edges = counts.withColumn("before", F.sum("n").over(upto) - F.col("n")).where(
-        F.col("before") < F.col("target")
+    upto = Window.partitionBy(*labels).orderBy("__bucket")
+    counts = accepted.groupBy(*labels, "__bucket", "target").agg(F.count(F.lit(1)).alias("__n"))
+    edges = counts.withColumn("__before", F.sum("__n").over(upto) - F.col("__n")).where(
+        F.col("__before") < F.col("target")
     )
     # at most BUCKETS rows per cell
-    room = edges.select(*labels, "bucket", (F.col("target") - F.col("before")).alias("room"), "n")
-    kept = accepted.join(F.broadcast(room), [*labels, "bucket"])
-    whole = kept.where(F.col("n") <= F.col("room"))
-    last = Window.partitionBy(*labels, "bucket").orderBy("u", key)
+    room = edges.select(*labels, "__bucket", (F.col("target") - F.col("__before")).alias("__room"), "__n")
+    kept = accepted.join(F.broadcast(room), [*labels, "__bucket"])
+    whole = kept.where(F.col("__n") <= F.col("__room"))
+    last = Window.partitionBy(*labels, "__bucket").orderBy("__u", key)
     part = (
-        kept.where(F.col("n") > F.col("room"))
-        .withColumn("r", F.row_number().over(last))
-        .where(F.col("r") <= F.col("room"))
+        kept.where(F.col("__n") > F.col("__room"))
+        .withColumn("__r", F.row_number().over(last))
+        .where(F.col("__r") <= F.col("__room"))
     )
     sample = cut_lineage(whole.select(key, *labels).union(part.select(key, *labels)))
     got = sample.groupBy(*labels).agg(F.count(F.lit(1)).alias("drawn"))
