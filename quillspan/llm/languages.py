@@ -63,7 +63,7 @@ for _word, _of in _WEIGHTS.items():
 
 _FENCES = re.compile(r"```.*?(?:```|\Z)", re.S)
 _INLINE = re.compile(r"`[^`\n]*`|<[^<>\n]{1,80}>")
-_CODE = re.compile(r"\S*(?:[/\\_=<>{}()\[\]]|\w\.\w|::)\S*|\b[A-Za-z]*[a-z][A-Z]\w*|\S*\d\S*")
+_CODE = re.compile(r"[/\\_=<>{}()\[\]\d]|\w\.\w|::|\b[A-Za-z]*[a-z][A-Z]").search
 _LABEL = re.compile(r"^\s*(?:THOUGHT|REASONING|PLAN)\s*:", re.I | re.M)
 _WORD = re.compile(r"[^\W\d_]+")
 _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
@@ -71,23 +71,25 @@ _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
 
 def prose_of(text: str) -> str:
     """A text without code blocks, inline code, tags, paths, identifiers and the thought label."""
-    return _CODE.sub(" ", _LABEL.sub(" ", _INLINE.sub(" ", _FENCES.sub(" ", text))))
+    plain = _LABEL.sub(" ", _INLINE.sub(" ", _FENCES.sub(" ", text)))
+    return "\n".join(" ".join(w for w in line.split() if not _CODE(w)) for line in plain.split("\n"))
 
 
 def language_of(prose: str) -> tuple[str | None, int]:
     """(language, its weight in letters) of prose; None where there is too little to tell."""
-    letters = sum(map(len, _WORD.findall(prose)))
+    words = _WORD.findall(prose.lower())
+    letters = sum(map(len, words))
     if not letters:
         return None, 0
-    for language, script in _SCRIPTS:
+    for language, script in () if prose.isascii() else _SCRIPTS:
         n = len(script.findall(prose))
         if n * 3 >= letters:
             if language == "zh" and _SCRIPTS[1][1].search(prose):
                 language = "ja"
             return language, letters * (3 if language in ("zh", "ja", "ko") else 1)
-    cyrillic = len(_CYRILLIC.findall(prose)) * 2 > letters
+    cyrillic = not prose.isascii() and len(_CYRILLIC.findall(prose)) * 2 > letters
     score: Counter[str] = Counter()
-    for word in _WORD.findall(prose.lower()):
+    for word in words:
         for language, weight in _WEIGHTS.get(word, {}).items():
             if (language in ("ru", "uk")) == cyrillic:
                 score[language] += weight

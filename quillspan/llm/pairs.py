@@ -173,8 +173,8 @@ def other_language(said: list[str], ticket: str) -> bool:
         return False
     same = other = 0
     for text in said:
-        for sentence in _SENTENCES(_QUOTED.sub(" ", _FENCED.sub(" ", text))):
-            language, letters = language_of(prose_of(sentence))
+        for sentence in _SENTENCES(prose_of(_QUOTED.sub(" ", _FENCED.sub(" ", text)))):
+            language, letters = language_of(sentence)
             if language is None:
                 continue
             if language == own:
