@@ -25,7 +25,7 @@ TRAIN_DOCS = 10_000
 TRAIN_LINES = 20_000
 TABLE_BITS = 17
 ORDERS = (4, 7)
-PROPOSE = 0.002
+PROPOSE = 0.0001
 CERTAIN = 0.98
 PIECE_BYTES = 4_000_000
 
