@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, residue, runs
+from quillspan.plans.sql import _S as BLANKS
 from quillspan.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,25 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("sample_id_a"), F.greatest(a, b).alias("sample_id_b")).distinct()
 
 
+ORACLE["p1_found"] = f"""with spoken as (
+  select rid, sample_id, split, lower(coalesce(m.content, '')) as said from (
+    select rid, sample_id, split, unnest(messages) as m from (
+      select row_number() over () as rid, * from (
+        select distinct sample_id, split, messages from prefixes where sample_id is not null and split is not null)))
+  where lower(trim(coalesce(m.role, ''))) <> 'system'),
+words as (select rid, sample_id, split, unnest(regexp_extract_all(said, '[^{BLANKS}]+')) as w from spoken),
+counted as (select rid, sample_id, split, w, count(*) as n from words group by all),
+sizes as (select rid, sum(n) as n from counted group by rid),
+both_ways as (
+  select e.rid as e, t.rid as t, e.sample_id as a, t.sample_id as b, sum(least(e.n, t.n)) as common
+  from counted e join counted t on e.w = t.w and e.split in ('validation', 'test') and t.split = 'train'
+    and e.sample_id <> t.sample_id
+  group by all)
+select distinct least(a, b) as sample_id_a, greatest(a, b) as sample_id_b
+from both_ways join sizes x on x.rid = e join sizes y on y.rid = t
+where 5 * common >= 4 * x.n and 5 * common >= 4 * y.n"""
+
+
 @query
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     """Overlaps per split and source of the evaluation prefix: pairs, and prefixes of each side."""
@@ -70,6 +90,26 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.pairs_of(groups.must_share(rows, "repo", _repo_links()), "repo", "root")
 
 
+_PATH = (
+    f"regexp_replace(regexp_replace(lower(repo), '^[{BLANKS}]+|[{BLANKS}]+$', '', 'g'), "
+    "'^(?:[a-z][a-z0-9+.-]*://[^/]+/+|[^/@]+@[^/:]+:/*)', '')"
+)
+ORACLE["p2_found"] = f"""with recursive path as (
+  select distinct repo, nullif(trim(lower(regexp_replace(instance_id, '^[{BLANKS}]+|[{BLANKS}]+$', '', 'g'))), '') as i,
+    {_PATH} as p from prefixes),
+named as (
+  select repo, i, case when p similar to '/*[^/]+(__|/+)[^/]+.*' then
+    regexp_extract(p, '^/*([^/]+?)(?:__|/+)', 1) || '/' ||
+    regexp_extract(p, '^/*[^/]+?(?:__|/+)([^/]+?)(?:[.]git)?(?:/.*)?$', 1) end as k
+  from path),
+ties as (
+  select repo, 'k' || k as t from named where repo is not null and k is not null
+  union select repo, 'i' || i from named where repo is not null and i is not null),
+edges as (select distinct a.repo as a, b.repo as b from ties a join ties b using (t)),
+reach as (select a, b from edges union select r.a, e.b from reach r join edges e on r.b = e.a)
+select a as repo_a, b as repo_b from reach where a < b"""
+
+
 @query
 def p2_splits(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "prefixes").select("sample_id", "repo", "instance_id")
