@@ -139,9 +139,9 @@ _FORM = re.compile("|".join(f"(?:{p})" for p in FORM_LINES), _I)
 _HOLE = re.compile("|".join(f"(?:{p})" for p in PLACEHOLDERS), _I)
 _NAVIGATION = re.compile("|".join(f"(?:{p})" for p in NAVIGATION), _I)
 _SECTION = re.compile("|".join(f"(?:{p})" for p in SECTION_LINES), _I)
-# code, command output and comments of markup that hold code; an open fence ends with its paragraph
+# code and command output; blanks within a fence are damage, an open fence ends with its paragraph
 _CODE = re.compile(
-    r"```.*?(?:```|\n[ \t]*\n|\Z)|<output>.*?(?:</output>|\Z)|<(script|style)\b.*?</\1>", re.S | _I
+    r"`[ \t]{0,3}`[ \t]{0,3}`.*?(?:`[ \t]{0,3}`[ \t]{0,3}`|\n[ \t]*\n|\Z)|<output>.*?(?:</output>|\Z)|<(script|style)\b.*?</\1>", re.S | _I
 )
 _INLINE = re.compile(r"`[^`\n]*`|(?<![\w])[\"“][^\"”\n]{1,200}[\"”]|'[^'\n]{1,80}'(?!\w)")
 _LOG = re.compile(

@@ -208,3 +208,8 @@ def test_classifier_separates_and_holds_on_unseen_lines():
     buffer, starts, ends = residue._encoded(held)
     p = model.scores(buffer, starts, ends, residue._features(ends - starts, np.zeros((len(held), 5))))
     assert (p[:100] < 0.5).all() and (p[100:] > 0.5).all()
+
+
+def test_damaged_fences_still_hold_code():
+    assert residue.content_lines("a\n`\t\t``html\n<noscript>Please enable JavaScript</noscript>\n```\nb") == ["a", "b"]
+    assert residue.content_lines("`x` / `y` `z` and more") == ["`x` / `y` `z` and more"]
