@@ -18,6 +18,7 @@ from quillspan.operators.judge import judge, keep_drop_counts, reason_histogram
 from quillspan.operators.latest import latest
 from quillspan.plans.tables import table
 from quillspan.schema import normalized_turns
+from quillspan.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,7 +39,7 @@ def _count(name: str):
 
 
 def _entries(spark: SparkSession, d: str) -> DataFrame:
-    return cutting.trajectory_entries(table(spark, d, "trajectories"))
+    return cutting.trajectory_entries(spread(table(spark, d, "trajectories")))
 
 
 @query
@@ -310,13 +311,13 @@ _JUDGED_INPUT = ("phase_wanted", "stopped", "messages", "continuation", "command
 
 def _judged(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """Judged rollouts, one per key: the rules run first, so only what `columns` name moves."""
-    raw = table(spark, d, "rollouts").select(*ROLLOUT_KEY, "loaded_at", *_JUDGED_INPUT)
+    raw = spread(table(spark, d, "rollouts").select(*ROLLOUT_KEY, "loaded_at", *_JUDGED_INPUT))
     return latest(judge(raw).select(*ROLLOUT_KEY, "loaded_at", "keep", "drop", "reasons", *columns), ROLLOUT_KEY)
 
 
 @query
 def judge_reasons(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "rollouts").select(*ROLLOUT_KEY, "loaded_at", *_JUDGED_INPUT)
+    raw = spread(table(spark, d, "rollouts").select(*ROLLOUT_KEY, "loaded_at", *_JUDGED_INPUT))
     return judge(raw).select(*ROLLOUT_KEY, "loaded_at", "keep", F.array_join("reasons", "|").alias("reasons"))
 
 
@@ -377,7 +378,7 @@ def phase_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sft(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "rollouts").select(*ROLLOUT_KEY, "loaded_at", "messages", "continuation")
+    raw = spread(table(spark, d, "rollouts").select(*ROLLOUT_KEY, "loaded_at", "messages", "continuation"))
     prefix = turns.prefix_of(F.col("messages"), F.col("continuation"))
     return raw.select(*ROLLOUT_KEY, "loaded_at", F.size(prefix).alias("n_prefix"), "messages")
 

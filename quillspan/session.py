@@ -51,6 +51,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than the session has cores, dealt out over them; any other as it is.
+
+    For work per row that outweighs moving the row: a table of one small file would
+    otherwise keep one core busy.  Large tables have more partitions than cores and are
+    never shuffled.  Pass the columns you need only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    partitions = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if partitions < cores else df
+
+
 _shipped: set[str] = set()
 
 
