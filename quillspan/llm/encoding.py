@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quillspan.llm.bpe import DEFAULT_VOCABULARY, encoder
+from quillspan.session import spread
 
 
 def token_ids(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -19,7 +20,7 @@ def token_ids(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCA
     tokenizer without special tokens (their strings are ordinary text).  Nothing is
     shuffled; texts of any length are encoded whole.
     """
-    rows = df.select(key, text)
+    rows = spread(df.select(key, text))
     out = T.StructType([rows.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,7 +35,7 @@ def token_ids(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCA
 
 def token_counts(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """`key` and `tokens`, the number of ids `token_ids` would give."""
-    rows = df.select(key, text)
+    rows = spread(df.select(key, text))
     out = T.StructType([rows.schema[key], T.StructField("tokens", T.LongType(), False)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspan.session import cut_lineage
+from quillspan.session import cut_lineage, spread
 
 ORDERED_TOKENS = 50_000
 SKETCH_WORDS = 8
@@ -205,7 +205,7 @@ def split_overlaps(df: DataFrame, key: str, text: Column, is_train: Column, is_e
             T.StructField("tokens", T.ArrayType(T.LongType())),
         ]
     )
-    tokenised = cut_lineage(rows.mapInArrow(_tokenised, out).where(F.size("tokens") > 0))
+    tokenised = cut_lineage(spread(rows).mapInArrow(_tokenised, out).where(F.size("tokens") > 0))
     members = tokenised.select(key, "side", "cls").distinct()
     classes = cut_lineage(
         tokenised.groupBy("cls").agg(

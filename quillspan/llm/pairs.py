@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspan.llm.languages import language_of, prose_of
+from quillspan.session import spread
 
 DEFECTS = ("empty", "copy", "refusal", "truncated", "language")
 COPY_SHARE = 0.7
@@ -217,7 +218,7 @@ def defective_answers(
     asked = F.filter(turns, lambda t: F.lower(F.trim(t["role"])) == "user")
     ticket = F.coalesce(F.get(asked, F.lit(0))["content"], F.get(turns, F.lit(0))["content"], F.lit(""))
     final = F.coalesce(F.try_element_at(turns, F.lit(-1))["content"], F.lit(""))
-    rows = df.select(*keys, ticket.alias("__ticket"), final.alias("__final"), *sides)
+    rows = spread(df.select(*keys, ticket.alias("__ticket"), final.alias("__final"), *sides))
     out = T.StructType(
         [rows.schema[k] for k in keys]
         + [

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspan.llm.languages import FUNCTION_WORDS
+from quillspan.session import spread
 
 TRAIN_DOCS = 10_000
 TRAIN_LINES = 20_000
@@ -363,7 +364,7 @@ def sample_lines(df: DataFrame, key: str, text: str, host: str, docs: int = TRAI
                 names=["host", "line", "flags", "label"],
             )
 
-    labelled = chosen.select(host, text).mapInArrow(label, "host string, line string, flags array<float>, label boolean")
+    labelled = spread(chosen.select(host, text)).mapInArrow(label, "host string, line string, flags array<float>, label boolean")
     # navigation and the like repeat in every page: one of each (line, label) is enough to learn from
     distinct = labelled.groupBy("line", "label").agg(F.min("host").alias("host"), F.min("flags").alias("flags"))
     rank = F.xxhash64("line")
@@ -424,7 +425,7 @@ def find_residue(df: DataFrame, key: str, text: str, model: LineModel, certain:
 
     Null, empty and blank texts have none.  Whole texts are read; nothing is shuffled.
     """
-    rows = df.select(key, text)
+    rows = spread(df.select(key, text))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

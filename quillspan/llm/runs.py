@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspan.llm.commands import cached_form
-from quillspan.session import cut_lineage
+from quillspan.session import cut_lineage, spread
 
 _EDGES = "__part", "__place"
 
@@ -132,9 +132,8 @@ def command_events(
     """
     durations = F.col(ms) if ms else F.lit(None).cast("array<bigint>")
     aligned = F.transform(commands, lambda _c, i: F.get(durations, i).cast("long"))
-    rows = df.select(
-        *keys, F.xxhash64(F.col(commands), durations).alias("version"), F.col(commands).alias("__c"), aligned.alias("__m")
-    )
+    version = F.xxhash64(F.col(commands), durations).alias("version")
+    rows = spread(df.select(*keys, version, F.col(commands).alias("__c"), aligned.alias("__m")))
     out = T.StructType(
         [rows.schema[k] for k in keys]
         + [
