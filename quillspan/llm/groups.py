@@ -121,7 +121,7 @@ def balance(sizes: list[tuple[int, int]], shares: list[tuple[str, float]]) -> di
     deficit = {name: total * share / whole for name, share in shares}
     plan: dict[int, list[tuple[str, int]]] = {}
     for size, n in sorted(sizes, reverse=True):
-        low, high = min(deficit.values()) - size * (n + 1), max(deficit.values())
+        low, high = min(deficit.values()) - size * (n + 1), max(deficit.values()) + size
         for _ in range(200):
             middle = (low + high) / 2
             if sum(max(0, int((d - middle) // size) + 1) for d in deficit.values() if d >= middle) > n:
