@@ -22,7 +22,7 @@ def test_steps_from_trajectories_to_meters(spark, tmp_path, capsys):
     assert run("filter", "--rollouts", "rollouts", "--out-dir", "judged") == 0
     assert run("pack", "--judged", "judged", "--out-dir", "packed") == 0
     assert run("gate", "--judged", "judged", "--out", "gate.json") == 0
-    assert run("examples", "--sft", "packed/sft", "--out", "examples", "--max-len", "16") == 0
+    assert run("examples", "--sft", "packed/sft", "--out", "tokens", "--max-len", "16") == 0
     assert cli.main(["recipe", "--base", "b", "--sft", "s", "--dpo", "d", "--out-dir", str(tmp_path / "train")]) == 0
     report = json.loads((tmp_path / "gate.json").read_text())
     picked = len(list(spark.read.json(str(tmp_path / "prefixes")).collect()))
