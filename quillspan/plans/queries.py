@@ -395,21 +395,17 @@ def span_mask(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _examples(spark: SparkSession, d: str) -> DataFrame:
-    return masks.sft_examples(_sft(spark, d), max_len=512, keep=("sample_id", "rollout", "loaded_at"))
+def _examples(spark: SparkSession, d: str, **limit: int) -> DataFrame:
+    return masks.sft_examples(_sft(spark, d), keep=("sample_id", "rollout", "loaded_at"), **limit)
 
 
-@query
-def sft_tokens(spark: SparkSession, d: str) -> DataFrame:
+def _lengths(examples: DataFrame) -> DataFrame:
     learned = F.size(F.filter("labels", lambda x: x != V.IGNORE_LABEL))
-    return _examples(spark, d).select(
-        *ROLLOUT_KEY, "loaded_at", F.size("input_ids").alias("n"), learned.alias("learned")
-    )
+    return examples.select(*ROLLOUT_KEY, "loaded_at", F.size("input_ids").alias("n"), learned.alias("learned"))
 
 
-@query
-def pad_batch(spark: SparkSession, d: str) -> DataFrame:
-    out = masks.padded(_examples(spark, d), "sample_id", 0)
+def _batches(examples: DataFrame) -> DataFrame:
+    out = masks.padded(examples, "sample_id", 0)
     return out.groupBy("sample_id").agg(
         F.min(F.size("input_ids")).alias("shortest"),
         F.max(F.size("labels")).alias("longest"),
@@ -417,6 +413,30 @@ def pad_batch(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def sft_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Cut at 512, as its SQL is."""
+    return _lengths(_examples(spark, d, max_len=512))
+
+
+@query
+def sft_tokens_long(spark: SparkSession, d: str) -> DataFrame:
+    """At the operator's and the command line's length."""
+    return _lengths(_examples(spark, d))
+
+
+@query
+def pad_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Cut at 512, as its SQL is."""
+    return _batches(_examples(spark, d, max_len=512))
+
+
+@query
+def pad_batch_long(spark: SparkSession, d: str) -> DataFrame:
+    """At the operator's and the command line's length."""
+    return _batches(_examples(spark, d))
+
+
 @query
 def dpo_usable(spark: SparkSession, d: str) -> DataFrame:
     rows = pairing.usable_dpo(table(spark, d, "dpo"))

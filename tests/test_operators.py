@@ -11,6 +11,7 @@ from quillspan.operators import cutting, expand, masks, meters, pairing, samplin
 from quillspan.operators.judge import judge, ratio_text
 from quillspan.operators.latest import latest
 from quillspan.operators.ordinals import with_ordinal
+from quillspan.plans.queries import QUERIES
 from quillspan.schema import PREFIX, ROLLOUT, TRAJECTORY
 from tests.transcript import TURNS, say, turns as transcript
 
@@ -271,6 +272,24 @@ def test_masks(spark):
     assert tuple(masks.skip_counts(df, masks.sft_examples(df)).first()) == (4, 3, 1)
 
 
+def test_long_rollouts_keep_what_is_learned(spark, tmp_path):
+    def words(n):
+        return " ".join(f"w{i}" for i in range(n))
+
+    prompt, late = ("user", words(600)), ("assistant", words(700))
+    rows = [("a", 1, [prompt, late], [late]), ("a", 2, [("user", "x"), late], [late]), ("b", 1, [("user", "x"), ("assistant", words(9000))], [("assistant", words(9000))])]
+    df = spark.createDataFrame(rows, f"sample_id string, rollout int, messages {TURNS}, continuation {TURNS}").withColumn("loaded_at", F.lit(None).cast("timestamp"))
+    df.write.parquet(str(tmp_path / "rollouts.parquet"))
+    got = {(r.sample_id, r.rollout): (r.n, r.learned) for r in QUERIES["sft_tokens_long"](spark, str(tmp_path)).collect()}
+    size = {k: sum(len(masks.blank_tokenizer(f"<|im_start|>{r}\n{c}<|im_end|>\n")[0]) for r, c in m) for *k, m, _ in rows for k in [tuple(k)]}
+    learned = len(masks.blank_tokenizer(f"<|im_start|>assistant\n{late[1]}<|im_end|>\n")[0])
+    assert got["a", 1] == (size["a", 1], learned) and got["a", 2] == (size["a", 2], learned)
+    assert got["b", 1][0] == 8192 < size["b", 1]
+    pads = {r.sample_id: (r.shortest, r.longest, r.pads) for r in QUERIES["pad_batch_long"](spark, str(tmp_path)).collect()}
+    most = size["a", 1]
+    assert pads == {"a": (most, most, most - size["a", 2]), "b": (8192, 8192, 0)}
+
+
 def test_user_query_and_blocks(spark):
     rows = [([("user", " <tool_response>x</tool_response>\n")], False), ([("user", "<tool_response>x</tool_response> y")], True), ([("assistant", "a")], False), (None, False), ([("user", None)], True)]
     df = spark.createDataFrame(rows, f"m {TURNS}, want boolean")
