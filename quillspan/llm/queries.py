@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspan import fixed_values as V
 from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, residue, runs
 from quillspan.plans.sql import _S as BLANKS
 from quillspan.plans.tables import table
@@ -63,9 +64,13 @@ where 5 * common >= 4 * x.n and 5 * common >= 4 * y.n"""
 
 @query
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
-    """Overlaps per split and source of the evaluation prefix: pairs, and prefixes of each side."""
+    """Overlaps per split and source of the evaluation prefix: pairs, and prefixes of each side.
+
+    A source has one row per split however it is written, and is spelled by `quota.spelled`.
+    """
     own = table(spark, d, "prefixes").where("split in ('validation', 'test')")
-    own = own.select(F.col("sample_id").alias("sample_id_e"), "split", "source").distinct()
+    source = quota.spelled(F.col("source"), V.SOURCES).alias("source")
+    own = own.select(F.col("sample_id").alias("sample_id_e"), "split", source).distinct()
     return (
         _overlaps(spark, d)
         .join(own, "sample_id_e")

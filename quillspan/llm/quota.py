@@ -19,6 +19,18 @@ def label_key(label: Column) -> Column:
     return F.regexp_replace(F.lower(label), "[^a-z0-9]", "")
 
 
+def spelled(label: Column, names: tuple[str, ...]) -> Column:
+    """A label as in `names` if it is one of them in any notation, else its letters and digits in lower case.
+
+    Letters of any script count; a label without any keeps its characters; null stays null.
+    """
+    key = F.regexp_replace(F.lower(label), r"[^\p{L}\p{N}]", "")
+    out = F.when(key == "", F.trim(label)).otherwise(key)
+    for name in names:
+        out = F.when(key == label_key(F.lit(name)), F.lit(name)).otherwise(out)
+    return out
+
+
 def _unit(seed: str, key: Column) -> Column:
     """A number in [0, 1) that depends on seed and key only."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11).cast("double") / F.lit(_UNIT)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, residue, runs
+from quillspan.llm import encoding, groups, overlap, packing, pairs, queries, quota, residue, runs
 from tests.llm.test_texts import TICKET, WORK, needs_vocabulary
 
 TURNS = "array<struct<role:string,content:string>>"
@@ -57,6 +57,18 @@ def test_overlaps_against_all_pairs(spark, seed, monkeypatch):
     assert none.count() == 0
 
 
+def test_overlap_report_has_one_row_per_source(spark, tmp_path):
+    said = [("user", "one two three four five")]
+    sources = ["mini-coder", "mini-coder ", "Mini-Coder", "mini_coder", "MINI CODER", "mini-coder-rs", None, "New_Pool", "newpool"]
+    rows = [("t", "train", "mini-coder", said)] + [(f"e{i}", "test", x, said) for i, x in enumerate(sources)]
+    rows.append(("e0", "test", "mini coder", said))
+    spark.createDataFrame(rows, f"sample_id string, split string, source string, messages {TURNS}").write.parquet(str(tmp_path / "prefixes.parquet"))
+    got = {(r.split, r.source): (r.n_pairs, r.n_eval, r.n_train) for r in queries.QUERIES["p1_report"](spark, str(tmp_path)).collect()}
+    assert got == {("test", "mini-coder"): (5, 5, 1), ("test", "mini-coder-rs"): (1, 1, 1), ("test", None): (1, 1, 1), ("test", "newpool"): (2, 2, 1)}
+    labels = spark.createDataFrame([("甲",), ("乙",), ("--",), (None,)], "s string").select(quota.spelled(F.col("s"), ("x",)))
+    assert [r[0] for r in labels.collect()] == ["甲", "乙", "--", None]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.sets(st.integers(0, 40), min_size=1), st.sets(st.integers(0, 40), min_size=1)), min_size=1, max_size=6))
 def test_banded_programming_counts_common_tokens(cases):
