@@ -16,7 +16,6 @@ from quillspan.session import spread
 
 DEFECTS = ("empty", "copy", "refusal", "truncated", "language")
 COPY_SHARE = 0.7
-QUOTED_TURNS = 2
 
 # --- fixed values: how an assistant declines, by language ----------------------------------
 _DO = (
@@ -110,29 +109,31 @@ def is_empty(answer: list[dict]) -> bool:
     return not any(map(_useful, answer))
 
 
-def _bag(text: str) -> Counter[str]:
-    return Counter(_WORDS.findall(_QUOTE_MARK.sub("", _THOUGHT.sub(" ", text)).lower()))
+def _words(text: str) -> list[str]:
+    return _WORDS.findall(_QUOTE_MARK.sub("", _THOUGHT.sub(" ", text)).lower())
 
 
 def is_copy(said: list[str], sources: list[str]) -> bool:
     """What the assistant says, commands aside, is one of the sources, give or take a wrapping.
 
-    Of the words of each at least `COPY_SHARE` stand in the other, or the answer's own
-    words are nearly all the source's and it gives nearly all of it.
+    Of the words of each at least `COPY_SHARE` stand in the other; looked at are the whole
+    answer and each turn, whatever the other turns do, with and without commands.
     """
-    if not said or len(said) > QUOTED_TURNS:
+    known = [x for x in map(_words, sources) if x]
+    if not said or not known:
         return False
-    whole = "\n".join(said)
-    for source in sources:
-        b = _bag(source)
-        n = sum(b.values())
-        if not n:
+    bags = [(len(x), Counter(x)) for x in known]
+    least = COPY_SHARE * min(n for n, _ in bags)
+    texts = ["\n".join(said), *(said if len(said) > 1 else ())]
+    for text in (*texts, *(_FENCED.sub(" ", x) for x in texts if "```" in x)):
+        if len(text) + 1 < 2 * least:  # a word and a blank take two characters
             continue
-        for text in (whole, _FENCED.sub(" ", whole), said[0]):
-            a = _bag(text)
-            common = sum((a & b).values())
-            if common >= COPY_SHARE * n and common >= COPY_SHARE * sum(a.values()):
-                return True
+        words = _words(text)
+        m = len(words)
+        near = [(n, b) for n, b in bags if min(m, n) >= COPY_SHARE * max(m, n)]
+        a = Counter(words) if near else Counter()
+        if any((a & b).total() >= COPY_SHARE * max(m, n) for n, b in near):
+            return True
     return False
 
 

@@ -138,6 +138,18 @@ def test_defects(given_answer, want):
     assert pairs.defects(TICKET, "<output>\n3\n</output>", given_answer) == want
 
 
+def test_copies_over_any_number_of_turns():
+    words = TICKET.split()
+    thirds = answer(" ".join(words[:8]) + ".", " ".join(words[8:16]) + ".", " ".join(words[16:]))
+    assert pairs.defects(TICKET, "", thirds) == ["copy"]
+    for at in range(3):
+        turns = [WORK, "THOUGHT: Now the rows are read once more, and the list is kept as it is.", "THOUGHT: Done."]
+        for command in ("", "\n\n```bash\n" + "grep -rn rows parser.py lists.py\n" * 9 + "```"):
+            turns[at] = TICKET + command
+            assert pairs.defects(TICKET, "", answer(*turns))[:1] == ["copy"]
+    assert pairs.defects(TICKET, "", answer(WORK, WORK, "THOUGHT: It should keep the order of the rows.")) == []
+
+
 def test_answers_in_the_tickets_language_are_fine():
     ticket = "Der Fehler tritt seit Version 3 auf, vorher lief derselbe Auftrag ohne Beanstandung."
     assert pairs.defects(ticket, "", answer("Ich sehe mir zuerst die Datei an.\n\n```\nls\n```")) == []
