@@ -29,6 +29,7 @@ ORDERS = (4, 7)
 PROPOSE = 0.0001
 CERTAIN = 0.98
 PIECE_BYTES = 4_000_000
+LONG = 400
 
 # --- fixed values: what error pages, notices, forms and placeholders look like -------------
 _STATUS = (
@@ -149,6 +150,7 @@ _LOG = re.compile(
     r"\s*(?:\[?\d{4}-\d\d-\d\d[T ])?\[?\d\d:\d\d:\d\d\b|\s*\[?(?:INFO|WARN(?:ING)?|ERROR|DEBUG|TRACE|FATAL)\]?[ :]\s*\S|\s*(?:>>>|\$ |\+ )"
 )
 _SENTENCES = re.compile(r"(?<=[.!?。！？])\s*(?<![.][.])(?=\S)(?<=[\s。！？])").split
+_BLOCK = re.compile(r"(?=<(?:title|body|main|section|div|p|h\d|li|td|noscript)\b)", _I).split
 _SPEAKER = re.compile(r"^\s*(?:user|assistant|system|tool)\s*:\s*", _I)
 _WRAP = re.compile(r"^(?:\s|<(?:div|p|span|section|main|body|center|h\d|b|strong|em)\b[^>]*>|#+\s|>+\s?|\*\*|[-*•]\s)+", _I)
 _TAIL = re.compile(r"(?:\s|</(?:div|p|span|section|main|body|center|h\d|b|strong|em)>|\*\*)+$", _I)
@@ -225,9 +227,14 @@ def kind_of(line: str) -> str | None:
     return None
 
 
+def kind_within(line: str) -> str | None:
+    """`kind_of` of the first block that has one: pages on one line have a tag before each block."""
+    return next(filter(None, map(kind_of, _BLOCK(line))), None)
+
+
 def _speaks_about(line: str) -> bool:
-    """A sentence about a message: long, or with several identifiers."""
-    return len(line) > 400 or len(_IDENTIFIER.findall(re.sub(r"<[^>]*>|\{[^}]*\}", " ", line))) > 1
+    """A sentence about a message: with several identifiers."""
+    return len(_IDENTIFIER.findall(re.sub(r"<[^>]*>|\{[^}]*\}", " ", line))) > 1
 
 
 # --- the classifier -------------------------------------------------------------------------
@@ -348,7 +355,8 @@ def sample_lines(df: DataFrame, key: str, text: str, host: str, docs: int = TRAI
                 for line, flag in zip(own, _flags(own), strict=True):
                     parts = segments(line)
                     whole = kind_of(line) is not None
-                    marks = [whole and kind_of(x) is not None for x in parts]
+                    long = len(line) > LONG
+                    marks = [(whole or long) and (kind_within(x) if long else kind_of(x)) is not None for x in parts]
                     marks = [whole] * len(parts) if whole and not any(marks) else marks
                     out += [
                         (own_host or "", x, [float(f) for f in flag], m) for x, m in zip(parts, marks, strict=True)
@@ -405,12 +413,12 @@ def validate(df: DataFrame, key: str, text: str, host: str) -> dict[str, float]:
 
 
 def _certain(line: str, p: float, below: bool, few: bool) -> bool:
-    """Nothing but the classifier: a short line without identifiers where pages and forms stand."""
+    """Nothing but the classifier: a line, or a segment of a long one, without identifiers where pages and forms stand."""
     own = bare(line)
     return (
         p >= CERTAIN
         and (below or few)
-        and 12 <= len(own) <= 200
+        and len(own) >= 12
         and not _LOG.match(line)
         and not own.endswith(":")
         and not _IDENTIFIER.search(own)
@@ -459,11 +467,16 @@ def find_residue(df: DataFrame, key: str, text: str, model: LineModel, certain:
                 marks = np.array(flags, dtype=np.float32)
                 each = np.array(counts)
                 scored = model.scores(buffer, starts, ends, _features(ends - starts, np.repeat(marks, each, axis=0)))
-                p = np.maximum.reduceat(scored, np.cumsum(each) - each)  # a line by its best segment
+                first = np.cumsum(each) - each
+                p = np.maximum.reduceat(scored, first)  # a line by its best segment
                 hit: list[tuple] = []
                 for i in np.flatnonzero(p >= PROPOSE):
                     kind = kind_of(lines[i])
-                    if kind is None and certain and _certain(lines[i], p[i], bool(marks[i, 3]), bool(marks[i, 2])):
+                    own = [(lines[i], p[i])]
+                    if len(lines[i]) > LONG:  # by the segments proposed
+                        own = [(parts[j], scored[j]) for j in range(first[i], first[i] + each[i]) if scored[j] >= PROPOSE]
+                        kind = kind or next(filter(None, (kind_within(x) for x, _ in own)), None)
+                    if kind is None and certain and any(_certain(x, q, bool(marks[i, 3]), bool(marks[i, 2])) for x, q in own):
                         kind = "page"
                     if kind:
                         hit.append((owner[i], kind, lines[i], float(p[i])))

@@ -319,3 +319,27 @@ def test_residue_of_a_table(spark):
     nothing = residue.train(df.limit(0), "id", "text", "host")
     assert residue.find_residue(df, "id", "text", nothing, certain=False).select("id").distinct().count() == 40
     assert residue.find_residue(df.limit(0), "id", "text", model).count() == 0
+
+
+def test_residue_on_long_lines(spark):
+    links = "".join(f"<li><a href='#'>Entry number {w}</a></li>" for w in WORDS)
+    report = "The reader stops after the ninth row and the list is then copied once more. " * 8
+    rows = [
+        ("minified", f"<html><head><meta charset=utf8></head><body><ul>{links}</ul><h1>Page not found</h1></body></html>"),
+        ("titled", f"<html><head><title>404 Not Found</title></head><body><ul>{links}</ul></body></html>"),
+        ("notice", f"<html><body><ul>{links}</ul><noscript>Please enable JavaScript.</noscript></body></html>"),
+        ("unbroken", "Your session has expired. " + "Sign in again to see what was here before. " * 12),
+        ("within", report + "Your session has expired. Sign in again."),
+        ("quoted", report + 'The banner "Please enable JavaScript" stays visible.'),
+        ("about", "Access denied is what Reader.open(path) and drain_rows say. " + report),
+        ("report", report),
+    ]
+    assert all(len(x) > 400 for _, x in rows)
+    df = spark.createDataFrame(rows, "k string, text string")
+    every = residue.LineModel(np.zeros(1 << residue.TABLE_BITS, dtype=np.float32), np.zeros(residue._EXTRA), 0.0)
+    got = {r.k: r.kind for r in residue.find_residue(df, "k", "text", every).collect()}
+    assert got == {"minified": "error", "titled": "error", "notice": "notice", "unbroken": "error", "within": "error"}
+    sure = residue.LineModel(every.grams, every.extra, 9.0)
+    page = "We are moving to another house and will be back with you as soon as all of it is done " * 5
+    kinds = [r.kind for r in residue.find_residue(spark.createDataFrame([("a", page)], "k string, text string"), "k", "text", sure).collect()]
+    assert kinds == ["page"]
