@@ -168,11 +168,12 @@ def assign_groups(members: DataFrame, group: str, targets: DataFrame) -> DataFra
 def grouped_split(df: DataFrame, key: str, keys: dict[str, Column], targets: DataFrame) -> DataFrame:
     """(key, split) of each distinct non-null `key`, records linked through `keys` in one split.
 
-    Rows of one `key` stay together whatever else they say.
+    Rows of one `key` stay together whatever else they say.  Rows without one are in no
+    split, but what they link stays together, as in `must_share`.
     """
     records = df.where(F.col(key).isNotNull())
     own = F.concat(F.lit("="), F.col(key))
-    roots = components(linked(records, {"": F.col(key), **keys}))
+    roots = components(linked(df, {"": F.col(key), **keys}))
     members = records.select(own.alias("node"), F.col(key)).distinct().join(roots, "node").select(key, "root")
     members = cut_lineage(members)
     splits = assign_groups(members, "root", targets)

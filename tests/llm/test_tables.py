@@ -162,6 +162,19 @@ def test_splits_keep_linked_rows_together(spark):
     assert shared.count() == len({r[1] for r in rows if r[1]})
 
 
+def test_rows_without_a_key_tie_splits(spark):
+    rows = [(f"k{i}", f"o__p{i}", f"i{i}") for i in range(40)]
+    rows += [(None, f"o__p{i}", f"i{i + 20}") for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, repo string, inst string")
+    keys = {"repo": groups.repo_key(F.col("repo")), "instance": groups.instance_key(F.col("inst"))}
+    targets = spark.createDataFrame([("train", 0.5), ("test", 0.5)], "split string, share double")
+    split = {r.k: r.split for r in groups.grouped_split(df, "k", keys, targets).collect()}
+    assert set(split) == {f"k{i}" for i in range(40)}
+    assert all(split[f"k{i}"] == split[f"k{i + 20}"] for i in range(20)) and len(set(split.values())) == 2
+    roots = dict(groups.must_share(df, "repo", keys).select("repo", "root").collect())
+    assert all(roots[f"o__p{i}"] == roots[f"o__p{i + 20}"] for i in range(20))
+
+
 # --- 3 ------------------------------------------------------------------------------------
 
 
