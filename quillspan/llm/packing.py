@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from quillspan.session import cut_lineage
 
 OPEN_BINS = 64
-BIN_ITEMS = 4096
 GROUP_ROWS = 50_000
 MOST_SPECS = 1000
 
@@ -25,13 +24,12 @@ class BestFit:
     At most `open_bins` containers are open.  An item goes into the fullest open one that
     holds it, found in a bitset over free space; without one a new container is opened,
     and if that would be one too many the fullest closes first.  A container also closes
-    when it is full or holds `bin_items` items.  Closed containers come out as
+    when it is full, however many items it holds.  Closed containers come out as
     (number, free space, items).
     """
 
     capacity: int
     open_bins: int = OPEN_BINS
-    bin_items: int = BIN_ITEMS
     bits: int = 0
     by_free: dict[int, list[int]] = field(default_factory=dict)
     items: dict[int, list] = field(default_factory=dict)
@@ -66,10 +64,9 @@ class BestFit:
             number, free = self.numbers, self.capacity
             self.numbers += 1
             self.items[number] = []
-        inside = self.items[number]
-        inside.append(item)
+        self.items[number].append(item)
         free -= size
-        if free == 0 or len(inside) >= self.bin_items:
+        if free == 0:
             yield number, free, self.items.pop(number)
         else:
             self._keep(number, free)

@@ -308,6 +308,17 @@ def test_best_fit_takes_the_fullest_bin_that_holds_the_item(sizes, open_bins):
     assert all(f == 20 - sum(s for _, s in items) for _, f, items in closed)
 
 
+def test_containers_close_by_space_only(spark):
+    sizes = [(i, None if i % 3 == 0 else 0 if i % 3 == 1 else 1) for i in range(24_000)]
+    df = spark.createDataFrame(sizes, "id bigint, tokens bigint")
+    specs = spark.createDataFrame([("wide", 8192), ("narrow", 100)], "spec string, capacity int")
+    rows = packing.pack(df, specs, "id").collect()
+    assert len(rows) == 2 * len(sizes)
+    assert {(r.container, r.free) for r in rows if r.spec == "wide"} == {("wide:0:0", 192)}
+    assert len({r.container for r in rows if r.spec == "narrow" and r.tokens}) == 80
+    assert all(r.free == 0 for r in rows if r.spec == "narrow" and r.tokens)
+
+
 # --- 8 ------------------------------------------------------------------------------------
 
 
