@@ -96,7 +96,8 @@ def recipe(_spark: SparkSession | None, a: argparse.Namespace) -> int:
 
 def examples(spark: SparkSession, a: argparse.Namespace) -> int:
     sft = records.read_jsonl(spark, a.sft, SFT)
-    out = masks.sft_examples(sft, max_len=a.max_len, drop_fully_masked=a.drop_fully_masked)
+    tokenize = masks.file_tokenizer(a.vocabulary) if a.vocabulary else masks.blank_tokenizer
+    out = masks.sft_examples(sft, tokenize, max_len=a.max_len, drop_fully_masked=a.drop_fully_masked)
     out.write.mode("error").parquet(a.out)
     _show("rows, examples, skipped:", masks.skip_counts(sft, spark.read.parquet(a.out)))
     return 0
@@ -148,6 +149,7 @@ def parser() -> argparse.ArgumentParser:
     p.set_defaults(run=examples)
     p.add_argument("--sft", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--vocabulary", help="tokenizer.json to encode with; without it words stand in for tokens, for size estimates only")
     p.add_argument("--max-len", type=int, default=8192)
     p.add_argument("--drop-fully-masked", action="store_true")
     return top

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -103,6 +104,26 @@ def blank_tokenizer(text: str) -> tuple[list[int], list[tuple[int, int]]]:
     return [zlib.crc32(text[a:b].encode()) % 50_000 for a, b in spans], spans
 
 
+@lru_cache(maxsize=2)
+def _tokenizer_of(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def file_tokenizer(path: str) -> Tokenize:
+    """The tokenizer of a `tokenizer.json` that every worker can read, loaded once in each; nothing is added to a text."""
+
+    def tokenize(text: str) -> tuple[list[int], list[tuple[int, int]]]:
+        coded = _tokenizer_of(path).encode(text, add_special_tokens=False)
+        return coded.ids, coded.offsets
+
+    return tokenize
+
+
 def sft_examples(
     sft: DataFrame,
     tokenize: Tokenize = blank_tokenizer,

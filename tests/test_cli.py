@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from quillspan import cli
 from tests.transcript import TURNS, turns as transcript
 
@@ -29,3 +31,23 @@ def test_steps_from_trajectories_to_meters(spark, tmp_path, capsys):
     assert report["n"]["all"] == 2 * picked > 0
     assert spark.read.json(str(tmp_path / "packed" / "sft")).count() >= 1
     assert "reason:" in capsys.readouterr().out
+
+
+def test_examples_with_a_vocabulary(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    own = tokenizers.Tokenizer(tokenizers.models.BPE())
+    own.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
+    alphabet = tokenizers.pre_tokenizers.ByteLevel.alphabet()
+    own.train_from_iterator(["the rows"] * 9, tokenizers.trainers.BpeTrainer(vocab_size=270, initial_alphabet=alphabet, show_progress=False))
+    own.add_special_tokens(["<|im_start|>", "<|im_end|>"])
+    own.enable_truncation(4)
+    own.save(str(tmp_path / "tokenizer.json"))
+    own.no_truncation()
+    said = [{"role": "user", "content": "count the rows é"}, {"role": "assistant", "content": "the rows 字"}]
+    (tmp_path / "sft.jsonl").write_text(json.dumps({"kind": "sft", "sample_id": "a", "n_prefix": 1, "messages": said}) + "\n")
+    argv = ["examples", "--sft", str(tmp_path / "sft.jsonl"), "--out", str(tmp_path / "tokens"), "--vocabulary", str(tmp_path / "tokenizer.json")]
+    assert cli.main(argv, spark) == 0
+    row = spark.read.parquet(str(tmp_path / "tokens")).first()
+    texts = [f"<|im_start|>{t['role']}\n{t['content']}<|im_end|>\n" for t in said]
+    prompt, whole = (own.encode(x, add_special_tokens=False).ids for x in (texts[0], "".join(texts)))
+    assert row.input_ids == whole and row.labels == [-100] * len(prompt) + whole[len(prompt):]
