@@ -222,6 +222,14 @@ def test_classifier_separates_and_holds_on_unseen_lines():
     assert (p[:100] < 0.5).all() and (p[100:] > 0.5).all()
 
 
+def test_the_penalty_takes_effect():
+    lines = [f"The queue is read {k} times before row {k * 7} is copied." for k in range(40)] + [f"This page {k} is gone." for k in range(9)]
+    labels = np.array([False] * 40 + [True] * 9)
+    free, held = (residue.fit(lines, np.zeros((49, 5), dtype=np.float32), labels, **r) for r in ({"ridge": 0.0}, {}))
+    assert np.square(held.grams).sum() < np.square(free.grams).sum()
+    assert np.abs(held.grams - free.grams).max() > 0.1
+
+
 def test_damaged_fences_still_hold_code():
     assert residue.content_lines("a\n`\t\t``html\n<noscript>Please enable JavaScript</noscript>\n```\nb") == ["a", "b"]
     assert residue.content_lines("`x` / `y` `z` and more") == ["`x` / `y` `z` and more"]
