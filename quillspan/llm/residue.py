@@ -2,9 +2,9 @@
 
 Lines outside code, command output and logs are scored by a regularised linear classifier
 on hashed n-grams, length and title features.  It is trained on weak labels (response
-statuses and phrases) and measured on hosts it has not seen.  What it proposes is then
-checked exactly; what it is certain of needs no known phrase if nothing else on the line
-speaks for content.
+statuses and phrases), and its threshold is set on hosts the scored weights have not seen.
+The classifier alone decides which lines are residue; the phrase lists only label what it
+is trained on, and name the kind of what it has found.
 """
 
 from __future__ import annotations
@@ -12,24 +12,28 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from http import HTTPStatus
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspan.llm.languages import FUNCTION_WORDS
-from quillspan.session import spread
+from quillspan.session import cut_lineage, spread
 
 TRAIN_DOCS = 10_000
-TRAIN_LINES = 20_000
+TRAIN_POSITIVE = 10_000
+TRAIN_NEGATIVE = 20_000
 TABLE_BITS = 17
 ORDERS = (4, 7)
-PROPOSE = 0.0001
-CERTAIN = 0.98
-RIDGE = 0.001  # least log loss on unseen hosts
-PIECE_BYTES = 4_000_000
+RIDGE = 3e-6
+POSITIVE_WEIGHT = 0.3  # of all labelled lines together
+FOLDS = 2  # parts of the hosts for the threshold
+PIECE_BYTES = 250_000
+LEAST_BYTES = 12  # a shorter piece without a mark says too little to be judged
 LONG = 400
 
 # --- fixed values: what error pages, notices, forms and placeholders look like -------------
@@ -89,11 +93,11 @@ FORM_LINES = (
     r"\((?:commands?|steps?|tests?|links?|screenshots?|logs?) (?:you|that you|here)[^)]*\)$",
     r"(?:please )?(?:attach|paste|insert|add|put|enter|upload) (?:the |your |any )?(?:relevant )?(?:logs?|screenshots?|output|details|text|files?|stack ?traces?) (?:here|below)[.!]?$",
     r"(?:please )?(?:tell us|describe|explain|summari[sz]e)\b[^.]{0,30}\b(?:in (?:one|two|a few|your own)\b[^.]{0,40}(?:sentences?|words?|lines?)|here|below)",
-    r"environment: os / version",
-    r"the outcome you had in mind[.]?$",
+    r"[\w ]{2,20}: \w+(?: / \w+)+$",
+    r"(?:what|the (?:outcome|result|behaviou?r|thing|page|error|message)) (?:that )?you (?:had in mind|expected|saw|wanted|did|were doing)[.]?$",
     r"(?:\d+[.)] )?(?:open|type|notice|click|go to|see|run|scroll(?: down)? to|enter) \.\.\.$",
     r"[-*] (?:added|changed|fixed|removed|deprecated|security): \.\.\.$",
-    r"release x\.y(?:\.z)?$",
+    r"(?:release|version)? ?v?x\.y(?:\.z)?$",
     r"(?:todo|tbd|fixme)[ :]+(?:write|add|fill|replace|describe|insert|complete)\b",
 )
 _NAME = r"[^\W\d][\w .-]{0,40}"
@@ -126,11 +130,47 @@ NAVIGATION = (
     r"menu|search",
     r"home(?: \| [\w ]+){1,6}",
     r"about\s+terms\s+privacy(?:\s+\w+)*",
-    r"← back to the list",
+    r"(?:[←«‹<]+ ?)?(?:go )?back to [\w ]+",
     r"[\w.-]+ - [\w-]+(?:\.[\w-]+)+",
 )
-SECTION_LINES = (
-    r"(?:#+ )?(?:linked (?:discussion|document|page)|upstream report|attached (?:page|document)|quoted from the [\w ]+|content of the linked [\w ]+)[:.]?",
+SEED_LINES = (
+    "The requested page could not be found on this server.",
+    "The requested URL was not found on this server.",
+    "The page you are looking for does not exist.",
+    "The page you were looking for may have moved or been deleted.",
+    "Sorry, the page you are looking for is currently unavailable. Please try again later.",
+    "Sorry, this page is not available right now.",
+    "We are sorry, but something went wrong.",
+    "Something went wrong. Please reload the page.",
+    "The server encountered an internal error and was unable to complete your request.",
+    "The server is temporarily unable to service your request. Please try again later.",
+    "The upstream server is taking too long to respond.",
+    "The proxy server received an invalid response from an upstream server.",
+    "You do not have permission to access this page.",
+    "Access to this page has been denied.",
+    "Please verify that you are a human.",
+    "Your session has expired. Please sign in again.",
+    "You must sign in to view this page.",
+    "If the problem persists, please contact the administrator.",
+    "This site is down for maintenance.",
+    "JavaScript is disabled in your browser. Please enable JavaScript to continue.",
+    "This page requires JavaScript.",
+    "You need to enable JavaScript to run this app.",
+    "Please turn JavaScript on and reload the page.",
+    "Enable JavaScript and cookies to continue",
+    "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.",
+    "lorem ipsum lorem ipsum lorem ipsum",
+    "test test test test test",
+    "blah blah blah blah blah",
+    "asdf asdf asdf qwer asdf",
+    "Coming soon",
+    "TODO: write this section",
+    "To be added",
+)
+SEED_NAMES = ("name", "title", "date", "version", "your name", "user_name", "description")
+SEED_MARKS = (
+    ("{{", "}}"), ("{{ ", " }}"), ("{", "}"), ("${", "}"), ("<", ">"), ("<your ", ">"), ("[", "]"), ("[insert ", " here]"),
+    ("[[", "]]"), ("%", "%"), ("$", "$"), ("@@", "@@"), ("__", "__"), ("(fill in ", ")"), ("<!-- add the ", " -->"), ("Dear {{", "}},"),
 )
 KEYBOARD_ROWS = ("qwertyuiop", "asdfghjkl;", "zxcvbnm")
 NEUTRAL_WORDS = frozenset("test tests testing foo bar baz qux abc aaa xxx yyy zzz lorem ipsum blah".split())
@@ -141,7 +181,6 @@ _NOTICE = re.compile("|".join(f"(?:{p})" for p in NOTICE_LINES), _I)
 _FORM = re.compile("|".join(f"(?:{p})" for p in FORM_LINES), _I)
 _HOLE = re.compile("|".join(f"(?:{p})" for p in PLACEHOLDERS), _I)
 _NAVIGATION = re.compile("|".join(f"(?:{p})" for p in NAVIGATION), _I)
-_SECTION = re.compile("|".join(f"(?:{p})" for p in SECTION_LINES), _I)
 # code and command output; blanks within a fence are damage, an open fence ends with its paragraph
 _CODE = re.compile(
     r"`[ \t]{0,3}`[ \t]{0,3}`.*?(?:`[ \t]{0,3}`[ \t]{0,3}`|\n[ \t]*\n|\Z)|<output>.*?(?:</output>|\Z)|<(script|style)\b.*?</\1>", re.S | _I
@@ -151,6 +190,8 @@ _LOG = re.compile(
     r"\s*(?:\[?\d{4}-\d\d-\d\d[T ])?\[?\d\d:\d\d:\d\d\b|\s*\[?(?:INFO|WARN(?:ING)?|ERROR|DEBUG|TRACE|FATAL)\]?[ :]\s*\S|\s*(?:>>>|\$ |\+ )"
 )
 _SENTENCES = re.compile(r"(?<=[.!?。！？])\s*(?<![.][.])(?=\S)(?<=[\s。！？])").split
+_MARK = re.compile(r"[{}<>\[\]%$@#*(&]|__")
+_MARKED = re.compile(r"(\S?[{<\[(%$@#*]+[^{}<>\[\]()%$@#*]{1,60}[}>\])%$@#*]+\S?|\S?\b__\w+__\b\S?|&lt;[^&]{1,60}&gt;)").split
 _BLOCK = re.compile(r"(?=<(?:title|body|main|section|div|p|h\d|li|td|noscript)\b)", _I).split
 _SPEAKER = re.compile(r"^\s*(?:user|assistant|system|tool)\s*:\s*", _I)
 _WRAP = re.compile(r"^(?:\s|<(?:div|p|span|section|main|body|center|h\d|b|strong|em)\b[^>]*>|#+\s|>+\s?|\*\*|[-*•]\s)+", _I)
@@ -171,8 +212,19 @@ def content_lines(text: str) -> list[str]:
 
 
 def segments(line: str) -> list[str]:
-    """What the classifier sees of a line: itself, or its sentences if it is long."""
-    return [line] if len(line) <= 120 else [x for x in _SENTENCES(line) if x]
+    """What the classifier sees of a line: itself, or its sentences if it is long.
+
+    What stands between marks such as brackets is a piece of its own in a long sentence.
+    """
+    if len(line) <= 120:
+        return [line]
+    out = []
+    for sentence in _SENTENCES(line):
+        if len(sentence) > 60 and _MARK.search(sentence):
+            out += [x for x in _MARKED(sentence) if x and not x.isspace()]
+        elif sentence:
+            out.append(sentence)
+    return out
 
 
 def bare(line: str) -> str:
@@ -221,7 +273,7 @@ def kind_of(line: str) -> str | None:
         return "notice"
     if _FORM.match(own):
         return "form"
-    if _HOLE.search(_INLINE.sub(" ", line.translate(_ZERO_WIDTH))):
+    if _MARK.search(line) and _HOLE.search(_INLINE.sub(" ", line.translate(_ZERO_WIDTH))):
         return "placeholder"
     if is_filler(_INLINE.sub(" ", own)):
         return "filler"
@@ -244,27 +296,34 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[48:58] = 48  # digits alike
 _LENGTHS = (0, 8, 20, 40, 80, 160, 320, 640)
-_EXTRA = len(_LENGTHS) + 5
+_FLAGS = 5
+_EXTRA = len(_LENGTHS) + _FLAGS
 
 
 @dataclass(frozen=True)
 class LineModel:
-    """Weights of the hashed n-grams (averaged over a line), of its features, and the intercept."""
+    """Weights of the hashed n-grams and of the other features, intercept and threshold of the score."""
 
     grams: np.ndarray
     extra: np.ndarray
     bias: float
+    threshold: float = 0.0
 
     def scores(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, extra: np.ndarray) -> np.ndarray:
+        """Log odds of each piece of `buffer`: n-gram weights summed over the root of their number."""
         total = np.zeros(len(starts))
         count = np.zeros(len(starts))
         for order, slots in _grams(buffer):
-            sums = np.concatenate(([0.0], np.cumsum(self.grams[slots], dtype=np.float64)))
+            sums = np.empty(len(slots) + 1, dtype=np.float64)
+            sums[0] = 0
+            np.cumsum(self.grams[slots], dtype=np.float64, out=sums[1:])
             last = np.clip(ends - order + 1, starts, len(slots))
             total += sums[last] - sums[np.minimum(starts, len(slots))]
             count += last - starts
-        z = total / np.maximum(count, 1) + extra @ self.extra + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return total / np.sqrt(np.maximum(count, 1)) + extra @ self.extra + self.bias
+
+
+NOTHING = LineModel(np.zeros(1 << TABLE_BITS, dtype=np.float32), np.zeros(_EXTRA), 0.0, np.inf)
 
 
 def _grams(buffer: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -279,11 +338,12 @@ def _grams(buffer: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             h *= np.uint32(0x01000193)
             h ^= buffer[i : i + n]
         h *= np.uint32(0x85EBCA6B)
-        yield order, h >> np.uint32(32 - TABLE_BITS)
+        h >>= np.uint32(32 - TABLE_BITS)
+        yield order, h
 
 
 def _features(sizes: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    """Length class (one of eight) and title features of each line."""
+    """Length class (one of eight) and title features of each piece."""
     out = np.zeros((len(sizes), _EXTRA), dtype=np.float32)
     out[np.arange(len(sizes)), np.searchsorted(_LENGTHS, sizes, side="right") - 1] = 1
     out[:, len(_LENGTHS) :] = flags
@@ -294,145 +354,254 @@ def _flags(lines: list[str]) -> list[tuple[bool, bool, bool, bool, bool]]:
     """Title features: first line, last line, few lines, below navigation or a section title, looks like a title."""
     n, few, out, below = len(lines), len(lines) <= 8, [], False
     for i, line in enumerate(lines):
-        out.append((i == 0, i == n - 1, few, below, line.startswith("#")))
-        short = len(line) < 60
-        below = short and (line.startswith("#") or _NAVIGATION.fullmatch(line.strip()) is not None or line.endswith(":"))
+        title = line.startswith("#")
+        out.append((i == 0, i == n - 1, few, below, title))
+        below = len(line) < 60 and (title or line.endswith(":") or _NAVIGATION.fullmatch(line.strip()) is not None)
     return out
 
 
-def _encoded(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = [line.encode() for line in lines]
+def _encoded(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all pieces with a line feed before and after each, start and end of each, both line feeds included)."""
+    raw = [piece.encode() for piece in pieces]
     sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
-    ends = np.cumsum(sizes + 1) - 1
-    buffer = _LOWER[np.frombuffer(b"\n".join(raw), dtype=np.uint8)] if raw else np.zeros(0, dtype=np.uint8)
-    return buffer, ends - sizes, ends
+    ends = np.cumsum(sizes + 1) + 1
+    buffer = _LOWER[np.frombuffer(b"\n" + b"\n".join(raw) + b"\n", dtype=np.uint8)]
+    return buffer, ends - sizes - 2, ends
 
 
-def fit(lines: list[str], flags: np.ndarray, labels: np.ndarray, rounds: int = 60, ridge: float = RIDGE) -> LineModel:
-    """Logistic regression by Adam steps over all lines, classes weighted alike, L2 penalty `ridge` over the table's size."""
-    buffer, starts, ends = _encoded(lines)
-    extra = _features(ends - starts, flags).astype(np.float64)
-    slot, line, count = [], [], np.zeros(len(lines))
+def fit(
+    pieces: list[str], flags: np.ndarray, labels: np.ndarray, weights: np.ndarray, rounds: int = 60, ridge: float = RIDGE
+) -> LineModel:
+    """Logistic regression by Adam steps over all pieces, with an L2 penalty.
+
+    `weights` are relative within a label; the positives together weigh `POSITIVE_WEIGHT`
+    of all.  The penalty is `ridge` times half the squared weights of n-grams.
+    """
+    buffer, starts, ends = _encoded(pieces)
+    extra = _features(ends - starts - 2, flags).astype(np.float64)
+    slot, sizes = [], []
     for order, slots in _grams(buffer):
         n = np.clip(ends - order + 1, starts, len(slots)) - starts
-        where = np.repeat(starts - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(int(n.sum()))
-        slot.append(slots[where])
-        line.append(np.repeat(np.arange(len(lines), dtype=np.int32), n))
-        count += n
-    slot, line, count = np.concatenate(slot), np.concatenate(line), np.maximum(count, 1)
+        slot.append(slots[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(int(n.sum()))])
+        sizes.append(n)
+    some = [np.flatnonzero(n) for n in sizes]
+    first = [(np.cumsum(n) - n)[i] for n, i in zip(sizes, some, strict=True)]
+    norm = 1 / np.sqrt(np.maximum(sum(sizes), 1))
+    line = np.concatenate([np.repeat(np.arange(len(pieces)), n) for n in sizes])
+    # n-grams in the order of their slots, for the gradients
+    flat = np.concatenate(slot)
+    by_slot = np.argsort(flat)
+    line_of, ordered = line[by_slot], flat[by_slot]
+    slot_at = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    slots_seen = ordered[slot_at]
+    place = np.zeros(1 << TABLE_BITS, dtype=np.intp)
+    place[slots_seen] = np.arange(len(slots_seen))
+    slot = [place[x] for x in slot]
     y = labels.astype(np.float64)
-    weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-    size = 1 << TABLE_BITS
+    share = np.where(labels, POSITIVE_WEIGHT, 1 - POSITIVE_WEIGHT)
+    weight = weights * share / np.where(labels, weights[labels].sum(), weights[~labels].sum())
+    size = len(slots_seen)
     theta = np.zeros(size + _EXTRA + 1)
     rate = np.concatenate((np.full(size, 2.0), np.full(_EXTRA + 1, 0.1)))
     one, two = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         w, e, b = theta[:size], theta[size:-1], theta[-1]
-        z = np.bincount(line, weights=w[slot], minlength=len(lines)) / count + extra @ e + b
+        z = extra @ e + b
+        narrow = w.astype(np.float32)
+        for own, rows, at in zip(slot, some, first, strict=True):
+            if len(rows):
+                z[rows] += np.add.reduceat(narrow[own], at) * norm[rows]
         g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        gw = np.bincount(slot, weights=(g / count)[line], minlength=size)
-        grad = np.concatenate((gw, g @ extra, [g.sum()])) + ridge * theta / size
+        gw = np.add.reduceat((g * norm).astype(np.float32)[line_of], slot_at) + ridge * w
+        grad = np.concatenate((gw, g @ extra, [g.sum()]))
         one = 0.9 * one + 0.1 * grad
         two = 0.99 * two + 0.01 * grad * grad
         theta = theta - rate * (one / (1 - 0.9**step)) / (np.sqrt(two / (1 - 0.99**step)) + 1e-12)
-    return LineModel(theta[:size].astype(np.float32), theta[size:-1].copy(), float(theta[-1]))
+    grams = np.zeros(1 << TABLE_BITS, dtype=np.float32)
+    grams[slots_seen] = theta[:size]
+    return LineModel(grams, theta[size:-1].copy(), float(theta[-1]))
 
 
-def sample_lines(df: DataFrame, key: str, text: str, host: str, docs: int = TRAIN_DOCS, lines: int = TRAIN_LINES):
-    """(lines, flags, labels, hosts) of a bounded sample of documents, weakly labelled.
+@dataclass(frozen=True)
+class Sample:
+    """Labelled pieces of sampled documents: what they are, where they stood, and how many pieces each stands for.
+
+    The host is null if a piece stood on several: whatever hosts are left out, it has been seen.
+    """
 
-    About `docs` documents are chosen by a hash of the key and at most `lines` lines of them
-    come to the driver: all weak positives first, then others in hash order.
+    pieces: list[str]
+    flags: np.ndarray
+    labels: np.ndarray
+    hosts: list[str | None]
+    counts: np.ndarray
+
+    def part(self, rows: np.ndarray) -> Sample:
+        at = np.flatnonzero(rows)
+        return Sample(
+            [self.pieces[i] for i in at], self.flags[at], self.labels[at], [self.hosts[i] for i in at], self.counts[at]
+        )
+
+    def both_labels(self) -> bool:
+        return bool(self.labels.any() and not self.labels.all())
+
+    def fold(self, of: int) -> np.ndarray:
+        """Which of `of` parts each piece's host falls into, -1 for those of several hosts."""
+        return np.array([-1 if h is None else zlib.crc32(h.encode()) % of for h in self.hosts], dtype=np.int64)
+
+    def fitted(self) -> LineModel:
+        return fit(self.pieces, self.flags, self.labels, np.sqrt(self.counts))
+
+    def scored(self, model: LineModel) -> np.ndarray:
+        buffer, starts, ends = _encoded(self.pieces)
+        return model.scores(buffer, starts, ends, _features(ends - starts - 2, self.flags))
+
+
+def labelled_pieces(lines: list[str]) -> Iterator[tuple[str, tuple, bool]]:
+    """(piece, title features, weak label) of the lines of one text."""
+    for line, flag in zip(lines, _flags(lines), strict=True):
+        parts = segments(line)
+        whole = kind_of(line) is not None
+        if not whole and len(line) <= LONG:
+            marks = [False] * len(parts)
+        elif len(parts) == 1:
+            marks = [whole or kind_within(line) is not None]
+        else:
+            marks = [(kind_within(x) if len(line) > LONG else kind_of(x)) is not None for x in parts]
+            if whole and not any(marks):
+                marks = [True] * len(parts)
+        yield from ((x, flag, m) for x, m in zip(parts, marks, strict=True))
+
+
+def seed_pieces() -> list[str]:
+    """Weakly labelled positives that need no corpus: response statuses in usual notations, and `SEED_LINES`."""
+    out = list(SEED_LINES)
+    for status in HTTPStatus:
+        if status.value >= 400:
+            out += [f"{status.value} {status.phrase}", f"Error {status.value}: {status.phrase}", f"{status.phrase}."]
+            out += [f"{status.value} {status.phrase}. {status.description}."] if status.description else []
+    return out + [f"{left}{name}{right}" for left, right in SEED_MARKS for name in SEED_NAMES]
+
+
+def hash_bound(share: float) -> int:
+    """The 64-bit hash up to which a share of all hashes lies; shares of a million million keys still differ."""
+    return min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+
+
+def sample_lines(
+    df: DataFrame,
+    key: str,
+    text: str,
+    host: str,
+    docs: int = TRAIN_DOCS,
+    positive: int = TRAIN_POSITIVE,
+    negative: int = TRAIN_NEGATIVE,
+) -> Sample:
+    """Weakly labelled pieces of a bounded sample of documents, and the seeds.
+
+    About `docs` documents are chosen by a 64-bit hash of the key (any number of them can be
+    told apart by it); of their distinct pieces at most `positive` weak positives and, drawn
+    apart from them, at most `negative` others come to the driver, frequent ones more likely.
     """
-    total = df.count()
-    share = min(1.0, docs / max(1, total))
-    chosen = df.where(F.pmod(F.xxhash64(F.lit("residue"), key), F.lit(1_000_000)) < int(share * 1_000_000))
+    share = min(1.0, docs / max(1, df.count()))
+    chosen = df.where(F.xxhash64(F.lit("residue"), key) <= F.lit(hash_bound(share))).select(host, text)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for own_host, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = content_lines(body or "")
-                for line, flag in zip(own, _flags(own), strict=True):
-                    parts = segments(line)
-                    whole = kind_of(line) is not None
-                    long = len(line) > LONG
-                    marks = [(whole or long) and (kind_within(x) if long else kind_of(x)) is not None for x in parts]
-                    marks = [whole] * len(parts) if whole and not any(marks) else marks
-                    out += [
-                        (own_host or "", x, [float(f) for f in flag], m) for x, m in zip(parts, marks, strict=True)
-                    ]
+                out += [(own_host or "", *x) for x in labelled_pieces(content_lines(body or ""))]
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+            kinds = (pa.string(), pa.string(), pa.list_(pa.bool_()), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns[0], pa.string()),
-                    pa.array(columns[1], pa.string()),
-                    pa.array(columns[2], pa.list_(pa.float32())),
-                    pa.array(columns[3], pa.bool_()),
-                ],
-                names=["host", "line", "flags", "label"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "piece", "flags", "label"]
             )
 
-    labelled = spread(chosen.select(host, text)).mapInArrow(label, "host string, line string, flags array<float>, label boolean")
-    # navigation and the like repeat in every page: one of each (line, label) is enough to learn from
-    distinct = labelled.groupBy("line", "label").agg(F.min("host").alias("host"), F.min("flags").alias("flags"))
-    rank = F.xxhash64("line")
-    rows = distinct.orderBy(F.desc("label"), rank).limit(lines).toPandas()
-    flags = np.array(rows["flags"].tolist(), dtype=np.float32).reshape(len(rows), 5)
-    return rows["line"].tolist(), flags, rows["label"].to_numpy(dtype=bool), rows["host"].tolist()
+    pieces = spread(chosen).mapInArrow(label, "host string, piece string, flags array<boolean>, label boolean")
+    # navigation and the like repeat in every page: one of each (piece, label) is enough to learn from
+    distinct = pieces.groupBy("piece", "label").agg(
+        F.when(F.min("host") == F.max("host"), F.min("host")).alias("host"),
+        F.min("flags").alias("flags"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    distinct = cut_lineage(distinct)
+    unit = (F.shiftrightunsigned(F.xxhash64("piece"), 11).cast("double") + 1) / F.lit(float(1 << 53))
+    drawn = []
+    for mark, most in ((True, positive), (False, negative)):
+        own = distinct.where(F.col("label") == mark).withColumn("at", -F.log(unit) / F.col("n"))
+        rows = own.orderBy("at", "piece").limit(most + 1).toPandas()
+        if len(rows) > most:  # a piece was drawn with the probability that its place lies before the first one left out
+            rows["n"] = rows["n"] / -np.expm1(-rows["n"] * rows["at"].iloc[most])
+        drawn.append(rows.head(most))
+    rows = pd.concat(drawn, ignore_index=True)
+    seeds = seed_pieces()
+    places = ((True, True, True, False, False), (False, False, False, True, False))
+    flags = rows["flags"].tolist() + [places[i % 2] for i in range(len(seeds))]
+    return Sample(
+        rows["piece"].tolist() + seeds,
+        np.array(flags, dtype=np.float32).reshape(-1, _FLAGS),
+        np.array(rows["label"].tolist() + [True] * len(seeds), dtype=bool),
+        rows["host"].tolist() + seeds,
+        np.array(rows["n"].tolist() + [1.0] * len(seeds)),
+    )
 
 
-def train(df: DataFrame, key: str, text: str, host: str) -> LineModel:
-    """The model of all sampled lines; without any of either label, one that proposes every line."""
-    lines, flags, labels, _ = sample_lines(df, key, text, host)
-    if not labels.any() or labels.all():
-        return LineModel(np.zeros(1 << TABLE_BITS, dtype=np.float32), np.zeros(_EXTRA), 0.0)
-    return fit(lines, flags, labels)
+def threshold_of(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> float:
+    """The score that parts the labels with the best F1 of all, halfway between its neighbours; 0 without positives."""
+    if not labels.any():
+        return 0.0
+    order = np.argsort(-scores, kind="stable")
+    hits = np.cumsum(np.where(labels, counts, 0)[order])
+    at = int(np.argmax(2 * hits / (np.cumsum(counts[order]) + counts[labels].sum())))
+    below = scores[order[at + 1]] if at + 1 < len(order) else scores[order[at]] - 1
+    return float((scores[order[at]] + below) / 2)
 
 
-def validate(df: DataFrame, key: str, text: str, host: str) -> dict[str, float]:
-    """Precision and recall, against weak labels, on one host in five that training did not see."""
-    lines, flags, labels, hosts = sample_lines(df, key, text, host)
-    unseen = np.array([zlib.crc32(h.encode()) % 5 == 0 for h in hosts], dtype=bool)
-    seen = ~unseen
-    if not seen.any() or labels[seen].all() or not labels[seen].any():
-        return {"lines": float(len(lines)), "hosts": 0.0, "precision": 0.0, "recall": 0.0}
-    model = fit([x for x, s in zip(lines, seen, strict=True) if s], flags[seen], labels[seen])
-    held = [x for x, u in zip(lines, unseen, strict=True) if u]
-    buffer, starts, ends = _encoded(held)
-    p = model.scores(buffer, starts, ends, _features(ends - starts, flags[unseen])) if held else np.zeros(0)
-    truth = labels[unseen]
-    half = p >= 0.5
-    return {
-        "lines": len(lines),
-        "hosts": len({h for h, u in zip(hosts, unseen, strict=True) if u}),
-        "precision": float((half & truth).sum() / max(1, half.sum())),
-        "recall": float((half & truth).sum() / max(1, truth.sum())),
-        "proposed_recall": float(((p >= PROPOSE) & truth).sum() / max(1, truth.sum())),
-        "proposed_share": float((p >= PROPOSE).mean()) if len(p) else 0.0,
-    }
-
-
-def _certain(line: str, p: float, below: bool, few: bool) -> bool:
-    """Nothing but the classifier: a line, or a segment of a long one, without identifiers where pages and forms stand."""
-    own = bare(line)
-    return (
-        p >= CERTAIN
-        and (below or few)
-        and len(own) >= 12
-        and not _LOG.match(line)
-        and not own.endswith(":")
-        and not _IDENTIFIER.search(own)
-        and not _NAVIGATION.fullmatch(own)
-        and not _SECTION.fullmatch(own)
-        and not line.lstrip().startswith("#")
-    )
+def _trained(sample: Sample) -> LineModel:
+    """The model of a sample; its threshold is set on scores of hosts by weights of the other hosts, in `FOLDS` parts."""
+    part = sample.fold(FOLDS)
+    scores = np.full(len(part), np.nan)
+    for own in range(FOLDS):
+        others, rows = sample.part(part != own), (part == own) | ((part == -1) & (own == 0))
+        if others.both_labels() and rows.any():
+            scores[rows] = sample.part(rows).scored(others.fitted())
+    known = ~np.isnan(scores)
+    threshold = threshold_of(scores[known], sample.labels[known], sample.counts[known])
+    return replace(sample.fitted(), threshold=threshold)
 
 
-def find_residue(df: DataFrame, key: str, text: str, model: LineModel, certain: bool = True) -> DataFrame:
-    """(key, kind, line, score) of every line that holds residue; kind `page` where only the classifier says so.
+def train(df: DataFrame, key: str, text: str, host: str) -> LineModel:
+    """The model of the sampled lines; of a corpus without lines, one that finds nothing."""
+    sample = sample_lines(df, key, text, host)
+    return _trained(sample) if sample.both_labels() else NOTHING
+
 
-    Null, empty and blank texts have none.  Whole texts are read; nothing is shuffled.
+def validate(df: DataFrame, key: str, text: str, host: str) -> dict[str, float]:
+    """Precision and recall, against weak labels, on one host in five that neither weights nor threshold saw.
+
+    Pieces count as often as they stand in the sampled documents, those that stand on other
+    hosts too included; `new_` measures are of the rest.  Seeds do not count.
+    """
+    sample = sample_lines(df, key, text, host)
+    fold = sample.fold(5)
+    seen = sample.part(fold != 0)
+    fold[len(fold) - len(seed_pieces()) :] = 1
+    report = {"pieces": float(len(sample.pieces)), "hosts": float(len({h for h, f in zip(sample.hosts, fold, strict=True) if f == 0}))}
+    model = _trained(seen) if seen.both_labels() else NOTHING
+    for name, rows in (("", (fold == 0) | (fold == -1)), ("new_", fold == 0)):
+        held = sample.part(rows)
+        found = held.scored(model) >= model.threshold
+        both = held.counts[found & held.labels].sum()
+        report[f"{name}precision"] = float(both / max(1.0, held.counts[found].sum()))
+        report[f"{name}recall"] = float(both / max(1.0, held.counts[held.labels].sum()))
+    return report | {"threshold": model.threshold}
+
+
+def find_residue(df: DataFrame, key: str, text: str, model: LineModel) -> DataFrame:
+    """(key, kind, line, score) of every line the model takes for residue, by the best of its pieces.
+
+    `kind` is that of the phrases in the line, `page` where it has none of them: it names what
+    was found and decides nothing.  `score` is a probability.  Null, empty and blank texts
+    have no residue.  Whole texts are read; nothing is shuffled.
     """
     rows = spread(df.select(key, text))
 
@@ -453,41 +622,27 @@ def find_residue(df: DataFrame, key: str, text: str, model: LineModel, certain:
                     owner += [at] * len(own)
                     flags += _flags(own)
                     for line in own:
-                        if len(line) <= 120:
-                            parts.append(line)
-                            counts.append(1)
-                        else:
-                            cut = segments(line)
-                            parts += cut
-                            counts.append(len(cut))
-                    size += len(texts[at] or "")
+                        cut = segments(line)
+                        parts += cut
+                        counts.append(len(cut))
+                        size += len(line)
                     at += 1
                 if not lines:
                     continue
                 buffer, starts, ends = _encoded(parts)
-                marks = np.array(flags, dtype=np.float32)
                 each = np.array(counts)
-                scored = model.scores(buffer, starts, ends, _features(ends - starts, np.repeat(marks, each, axis=0)))
-                first = np.cumsum(each) - each
-                p = np.maximum.reduceat(scored, first)  # a line by its best segment
-                hit: list[tuple] = []
-                for i in np.flatnonzero(p >= PROPOSE):
-                    kind = kind_of(lines[i])
-                    own = [(lines[i], p[i])]
-                    if len(lines[i]) > LONG:  # by the segments proposed
-                        own = [(parts[j], scored[j]) for j in range(first[i], first[i] + each[i]) if scored[j] >= PROPOSE]
-                        kind = kind or next(filter(None, (kind_within(x) for x, _ in own)), None)
-                    if kind is None and certain and any(_certain(x, q, bool(marks[i, 3]), bool(marks[i, 2])) for x, q in own):
-                        kind = "page"
-                    if kind:
-                        hit.append((owner[i], kind, lines[i], float(p[i])))
-                where, kinds, found, score = zip(*hit, strict=True) if hit else ((), (), (), ())
+                marks = np.repeat(np.array(flags, dtype=np.float32), each, axis=0)
+                scored = model.scores(buffer, starts, ends, _features(ends - starts - 2, marks))
+                scored[[i for i in np.flatnonzero(ends - starts - 2 < LEAST_BYTES) if not _MARK.search(parts[i])]] = -np.inf
+                z = np.maximum.reduceat(scored, np.cumsum(each) - each)
+                hit = np.flatnonzero(z >= model.threshold)
+                found = [lines[i] for i in hit]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(where, pa.int64())),
-                        pa.array(kinds, pa.string()),
+                        batch.column(0).take(pa.array([owner[i] for i in hit], pa.int64())),
+                        pa.array([kind_of(x) or kind_within(x) or "page" for x in found], pa.string()),
                         pa.array(found, pa.string()),
-                        pa.array(score, pa.float64()),
+                        pa.array(1 / (1 + np.exp(-np.clip(z[hit], -30, 30))), pa.float64()),
                     ],
                     names=[key, "kind", "line", "score"],
                 )

@@ -1,5 +1,6 @@
 """The operators on small tables against plain Python."""
 
+import dataclasses
 import random
 from collections import Counter, defaultdict
 
@@ -322,7 +323,7 @@ def test_containers_close_by_space_only(spark):
 # --- 8 ------------------------------------------------------------------------------------
 
 
-def test_residue_of_a_table(spark):
+def _corpus():
     rng = random.Random(9)
     nouns = "rows column queue header ledger mixer socket".split()
 
@@ -333,18 +334,65 @@ def test_residue_of_a_table(spark):
     bad = ["404 Not Found", "Please enable JavaScript to continue.", "xxx xxx xxx xxx xxx xxx", "Summary: {{ summary }}", "Your session has expired. Sign in again."]
     bad = [[f"Error {400 + i}: internal server error.", f"Summary: {{{{ field{i} }}}}", *bad][i % 7] for i in range(40)]
     rows += [(1000 + i, (fine() + "\n\n" if i % 2 else "") + bad[i], f"o__r{i % 9}") for i in range(40)]
+    return fine, rows
+
+
+def test_residue_of_a_table(spark):
+    fine, rows = _corpus()
     rows += [(2000, "```\n404 Not Found\n```\n\n" + fine(), None), (2001, None, None), (2002, "", "x"), (2003, " \n", "x")]
     df = spark.createDataFrame(rows, "id bigint, text string, host string").withColumn("line", F.lit("clash"))
     model = residue.train(df, "id", "text", "host")
-    got = {r.id for r in residue.find_residue(df, "id", "text", model).collect()}
-    assert got == {1000 + i for i in range(40)}
+    found = residue.find_residue(df, "id", "text", model).collect()
+    assert {r.id for r in found} == {1000 + i for i in range(40)}
     report = residue.validate(df, "id", "text", "host")
-    assert report["hosts"] and report["proposed_recall"] > 0.8
+    assert report["hosts"] and report["recall"] >= 0.9 and report["precision"] >= 0.9
     nothing = residue.train(df.limit(0), "id", "text", "host")
-    assert residue.find_residue(df, "id", "text", nothing, certain=False).select("id").distinct().count() == 40
+    assert residue.find_residue(df, "id", "text", nothing).count() == 0
     assert residue.find_residue(df.limit(0), "id", "text", model).count() == 0
 
 
+def test_the_classifier_decides(spark):
+    """Weights alone make the difference: phrases neither add lines nor keep any."""
+    _, rows = _corpus()
+    df = spark.createDataFrame(rows, "id bigint, text string, host string")
+    model = residue.train(df, "id", "text", "host")
+    strict = dataclasses.replace(model, threshold=1e6)
+    assert residue.find_residue(df, "id", "text", strict).count() == 0
+    unlisted = ["That page could not be found here.", "The server is not available just now. Please try again later."]
+    assert [residue.kind_of(x) for x in unlisted] == [None, None]
+    pages = spark.createDataFrame(list(enumerate(unlisted)), "id bigint, text string")
+    assert {(r.id, r.kind) for r in residue.find_residue(pages, "id", "text", model).collect()} == {(0, "page"), (1, "page")}
+
+
+def test_plain_error_pages(spark):
+    _, rows = _corpus()
+    model = residue.train(spark.createDataFrame(rows, "id bigint, text string, host string"), "id", "text", "host")
+    pages = [
+        "404 Not Found. The requested page could not be found on this server.",
+        "503 Service Unavailable - please try again later",
+        "Sorry, this page isn't available right now.",
+        "We're sorry, but something went wrong.",
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "id bigint, text string")
+    assert residue.find_residue(df, "id", "text", model).select("id").distinct().count() == len(pages)
+
+
+def test_the_sample_is_there_at_any_size(spark):
+    """The hash bound of a share of 10,000 documents in a million million keeps keys apart."""
+    for n in (10**10, 10**12, 10**15):
+        hashes = residue.hash_bound(residue.TRAIN_DOCS / n) + (1 << 63)
+        assert abs(hashes / (1 << 64) * n / residue.TRAIN_DOCS - 1) < 1e-3
+    assert residue.hash_bound(1.0) == (1 << 63) - 1
+    _, rows = _corpus()
+    df = spark.createDataFrame(rows, "id bigint, text string, host string")
+    small = residue.sample_lines(df, "id", "text", "host", positive=5, negative=20)
+    seeds = len(residue.seed_pieces())
+    assert (small.labels[:-seeds].sum(), (~small.labels).sum()) == (5, 20)
+    whole = residue.sample_lines(df, "id", "text", "host")
+    ratio = small.counts[~small.labels].sum() / whole.counts[~whole.labels].sum()
+    assert 0.5 < ratio < 2
+
+
 def test_residue_on_long_lines(spark):
     links = "".join(f"<li><a href='#'>Entry number {w}</a></li>" for w in WORDS)
     report = "The reader stops after the ninth row and the list is then copied once more. " * 8
@@ -354,16 +402,13 @@ def test_residue_on_long_lines(spark):
         ("notice", f"<html><body><ul>{links}</ul><noscript>Please enable JavaScript.</noscript></body></html>"),
         ("unbroken", "Your session has expired. " + "Sign in again to see what was here before. " * 12),
         ("within", report + "Your session has expired. Sign in again."),
-        ("quoted", report + 'The banner "Please enable JavaScript" stays visible.'),
-        ("about", "Access denied is what Reader.open(path) and drain_rows say. " + report),
         ("report", report),
     ]
     assert all(len(x) > 400 for _, x in rows)
+    assert [residue.kind_within(x) for _, x in rows[:3]] == ["error", "error", "notice"]
+    _, corpus = _corpus()
+    pages = [(3000 + i, f"<ul><li><a href='#'>Entry number {w}</a></li></ul>", "o__p") for i, w in enumerate(WORDS)]
+    model = residue.train(spark.createDataFrame(corpus + pages, "id bigint, text string, host string"), "id", "text", "host")
     df = spark.createDataFrame(rows, "k string, text string")
-    every = residue.LineModel(np.zeros(1 << residue.TABLE_BITS, dtype=np.float32), np.zeros(residue._EXTRA), 0.0)
-    got = {r.k: r.kind for r in residue.find_residue(df, "k", "text", every).collect()}
-    assert got == {"minified": "error", "titled": "error", "notice": "notice", "unbroken": "error", "within": "error"}
-    sure = residue.LineModel(every.grams, every.extra, 9.0)
-    page = "We are moving to another house and will be back with you as soon as all of it is done " * 5
-    kinds = [r.kind for r in residue.find_residue(spark.createDataFrame([("a", page)], "k string, text string"), "k", "text", sure).collect()]
-    assert kinds == ["page"]
+    got = {r.k for r in residue.find_residue(df, "k", "text", model).collect()}
+    assert got == {"minified", "titled", "notice", "unbroken", "within"}

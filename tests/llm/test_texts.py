@@ -215,17 +215,18 @@ def test_classifier_separates_and_holds_on_unseen_lines():
     bad = [f"Error {k}: this page could not be shown. Please {w} later." for k in range(400, 420) for w in ("reload", "come back", "try again")]
     lines = good[:200] + bad[:40]
     labels = np.array([False] * 200 + [True] * 40)
-    model = residue.fit(lines, np.zeros((240, 5), dtype=np.float32), labels)
+    model = residue.fit(lines, np.zeros((240, 5), dtype=np.float32), labels, np.ones(240))
     held = good[200:] + bad[40:]
     buffer, starts, ends = residue._encoded(held)
-    p = model.scores(buffer, starts, ends, residue._features(ends - starts, np.zeros((len(held), 5))))
-    assert (p[:100] < 0.5).all() and (p[100:] > 0.5).all()
+    z = model.scores(buffer, starts, ends, residue._features(ends - starts - 2, np.zeros((len(held), 5))))
+    assert (z[:100] < 0).all() and (z[100:] > 0).all()
 
 
 def test_the_penalty_takes_effect():
     lines = [f"The queue is read {k} times before row {k * 7} is copied." for k in range(40)] + [f"This page {k} is gone." for k in range(9)]
     labels = np.array([False] * 40 + [True] * 9)
-    free, held = (residue.fit(lines, np.zeros((49, 5), dtype=np.float32), labels, **r) for r in ({"ridge": 0.0}, {}))
+    flags, weights = np.zeros((49, 5), dtype=np.float32), np.ones(49)
+    free, held = (residue.fit(lines, flags, labels, weights, **r) for r in ({"ridge": 0.0}, {"ridge": 1e-3}))
     assert np.square(held.grams).sum() < np.square(free.grams).sum()
     assert np.abs(held.grams - free.grams).max() > 0.1
 
@@ -233,3 +234,20 @@ def test_the_penalty_takes_effect():
 def test_damaged_fences_still_hold_code():
     assert residue.content_lines("a\n`\t\t``html\n<noscript>Please enable JavaScript</noscript>\n```\nb") == ["a", "b"]
     assert residue.content_lines("`x` / `y` `z` and more") == ["`x` / `y` `z` and more"]
+
+
+def test_thresholds():
+    scores, labels = np.array([3.0, 2.0, 1.0, 0.0, -1.0]), np.array([True, True, False, True, False])
+    ones = np.ones(5)
+    assert residue.threshold_of(scores, labels, ones) == -0.5
+    assert residue.threshold_of(scores, labels, np.array([1.0, 1.0, 9.0, 1.0, 1.0])) == 1.5
+    assert residue.threshold_of(scores, np.zeros(5, dtype=bool), ones) == 0.0
+
+
+def test_marked_pieces_of_long_sentences():
+    line = "Assigned to %version% while the reader copies every row of the list twice, and nothing else in the setup has changed since then."
+    assert residue.segments(line)[:2] == ["Assigned to ", "%version%"]
+    assert "".join(residue.segments(line)) == line
+    quoted = line.replace("%version%", "`<%= title %>`")
+    assert residue.segments(quoted)[1] == "`<%= title %>`" and residue.kind_of(quoted) is None
+    assert residue.segments("Title: {{ title }}") == ["Title: {{ title }}"]
