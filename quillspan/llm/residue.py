@@ -183,9 +183,11 @@ _HOLE = re.compile("|".join(f"(?:{p})" for p in PLACEHOLDERS), _I)
 _NAVIGATION = re.compile("|".join(f"(?:{p})" for p in NAVIGATION), _I)
 # code and command output; blanks within a fence are damage, an open fence ends with its paragraph
 _CODE = re.compile(
-    r"`[ \t]{0,3}`[ \t]{0,3}`.*?(?:`[ \t]{0,3}`[ \t]{0,3}`|\n[ \t]*\n|\Z)|<output>.*?(?:</output>|\Z)|<(script|style)\b.*?</\1>", re.S | _I
+    r"`[ \t]{0,3}`[ \t]{0,3}`.*?(?:`[ \t]{0,3}`[ \t]{0,3}`|\n[ \t]*\n|\Z)|<output>.*?(?:</output>|\Z)|</output>|<(script|style)\b.*?</\1>", re.S | _I
 )
 _INLINE = re.compile(r"`[^`\n]*`|(?<![\w])[\"“][^\"”\n]{1,200}[\"”]|'[^'\n]{1,80}'(?!\w)")
+_INLINE_CODE = re.compile(r"`[^`\n]+`")
+_INVISIBLE = re.compile("[​‌‍⁠﻿­]")
 _LOG = re.compile(
     r"\s*(?:\[?\d{4}-\d\d-\d\d[T ])?\[?\d\d:\d\d:\d\d\b|\s*\[?(?:INFO|WARN(?:ING)?|ERROR|DEBUG|TRACE|FATAL)\]?[ :]\s*\S|\s*(?:>>>|\$ |\+ )"
 )
@@ -205,9 +207,12 @@ _FUNCTION = frozenset(w for ws in FUNCTION_WORDS.values() for w in ws.split() if
 
 
 def content_lines(text: str) -> list[str]:
-    """Lines of a text outside code and command output."""
+    """Lines of a text without code and command output; of code within a line its two marks are left."""
+    if not text.isascii():
+        text = _INVISIBLE.sub("", text)
     if "`" in text or "<" in text:
         text = _CODE.sub("\n", text)
+        text = _INLINE_CODE.sub("``", text)
     return [line for line in text.split("\n") if line and not line.isspace()]
 
 
@@ -633,7 +638,7 @@ def find_residue(df: DataFrame, key: str, text: str, model: LineModel) -> DataFr
                 each = np.array(counts)
                 marks = np.repeat(np.array(flags, dtype=np.float32), each, axis=0)
                 scored = model.scores(buffer, starts, ends, _features(ends - starts - 2, marks))
-                scored[[i for i in np.flatnonzero(ends - starts - 2 < LEAST_BYTES) if not _MARK.search(parts[i])]] = -np.inf
+                scored[[i for i in np.flatnonzero(ends - starts - 2 < LEAST_BYTES) if len(_MARKED(parts[i])) == 1]] = -np.inf
                 z = np.maximum.reduceat(scored, np.cumsum(each) - each)
                 hit = np.flatnonzero(z >= model.threshold)
                 found = [lines[i] for i in hit]
