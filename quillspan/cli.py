@@ -83,7 +83,7 @@ def gate(spark: SparkSession, a: argparse.Namespace) -> int:
     elif a.rollouts:
         report = meters.meter_report(judge(records.read_jsonl(spark, a.rollouts, ROLLOUT)))
     else:
-        report = {"n": {}, "note": "no rollouts given", "meters": list(meters.PASS_IF), "pass_if": meters.PASS_IF}
+        report = {"n": {}, "note": "no rollouts given", "meters": list(V.PASS_IF), "pass_if": V.PASS_IF}
     records.write_report(report, a.out)
     print(json.dumps(report, indent=2))
     return 0

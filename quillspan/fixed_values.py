@@ -7,49 +7,21 @@ library is parameterised through them.
 
 # --- fixed values: command fences and sentinels -----------------------------------
 COMMAND_FENCE = r"```(?:bash|sh|shell)?[ \t]*\n(.*?)```"
-SUBMIT_SENTINELS = (
-    "COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT",
-    "SUBMIT_TASK_[0-9A-F]{8}",
-    "FINALIZE_AND_SUBMIT_TASK_OUTPUT",
-)
+SUBMIT = r"\b(?:COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT|SUBMIT_TASK_[0-9A-F]{8}|FINALIZE_AND_SUBMIT_TASK_OUTPUT)\b"
 
-# --- fixed values: event patterns (alternatives in matching order) ----------------
-EDIT_ALTERNATIVES = (
-    r"sed\s+-i",
-    r"tee\s+[\w./-]",
-    r"cat\s*>",
-    r"str_replace",
-    r"git apply",
-    r"patch\s+-p",
-    r"applypatch",
-    r"cp\s+[\w./-]",
-    r"mv\s+[\w./-]",
-    r"(?<![-\d&])>>?\s*(?!/dev/)[\w.][\w./-]*",
-)
-VERIFY_WORDS = (
-    "pytest",
-    r"python\s+-c",
-    r"python3\s+-c",
-    r"cargo\s+test",
-    r"go\s+test",
-    r"npm\s+test",
-    "unittest",
-    "nosetests",
-    r"rake\s+test",
+# --- fixed values: event patterns ---------------------------------------------------
+EDIT = (
+    r"sed\s+-i|tee\s+[\w./-]|cat\s*>|str_replace|git apply|patch\s+-p|applypatch|cp\s+[\w./-]|mv\s+[\w./-]|"
+    r"(?<![-\d&])>>?\s*(?!/dev/)[\w.][\w./-]*"
 )
-CLAIM_WORDS = VERIFY_WORDS[:6]
-WIDE_SEARCH_ALTERNATIVES = (
-    r"find\s+\.",
-    r"find\s+/\s",
-    r"grep\s+-[a-zA-Z]*r[a-zA-Z]*\s",
-    r"rg\s+.*\s+\.",
-    r"grep\s+-rn\s",
+VERIFY = (
+    r"\b(?:pytest|python\s+-c|python3\s+-c|cargo\s+test|go\s+test|npm\s+test|unittest|nosetests|rake\s+test)\b"
 )
-INFRA_ALTERNATIVES = (
-    r"pip3?\s+install\b[^\n]*\bpytest\b",
-    r"python3?\s+-m\s+pip\s+install[^\n]*\bpytest\b",
-    r"which\s+pytest",
-    r"find\s+/\s+-name\s+[\"']pytest[\"']",
+CLAIM = r"\b(?:pytest|python\s+-c|python3\s+-c|cargo\s+test|go\s+test|npm\s+test)\b"
+WIDE_SEARCH = r"^\s*(?:find\s+\.|find\s+/\s|grep\s+-[a-zA-Z]*r[a-zA-Z]*\s|rg\s+.*\s+\.|grep\s+-rn\s)"
+INFRA = (
+    r"\b(?:pip3?\s+install\b[^\n]*\bpytest\b|python3?\s+-m\s+pip\s+install[^\n]*\bpytest\b|which\s+pytest|"
+    r"find\s+/\s+-name\s+[\"']pytest[\"'])\b"
 )
 
 # --- fixed values: limits -----------------------------------------------------------
@@ -105,3 +77,33 @@ SCRIPTED_EDIT_COMMAND = "sed -i 's/return 0/return a + b/' src/math.py"
 SCRIPTED_CHECK_COMMAND = "python -c 'from src.math import add; print(add(1,2))'"
 SCRIPTED_SUBMIT_COMMAND = "echo COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT"
 SCRIPTED_SEARCH_COMMAND = "grep -n add src/math.py"
+
+# --- fixed values: what reports say ---------------------------------------------------
+PASS_IF = {
+    "cold_verify_rate": "up vs baseline",
+    "cold_edit_rate": "flat (must not drop)",
+    "pre_edit_no_wide": "up",
+    "pre_edit_edit_rate": "up",
+    "loop_rate": "near 0",
+}
+SFT_RECIPE = {
+    "mask": "messages[0:n_prefix] — no loss",
+    "loss": "assistant turns after n_prefix",
+    "lora": {"targets": "attn + shared expert", "not": "all 256 experts"},
+    "lr": 5e-6,
+    "epochs": 1,
+    "notes": "one-third epoch if cold edit rate starts falling",
+}
+DPO_RECIPE = {
+    "prompt": "prefix",
+    "chosen": "keep continuation",
+    "rejected": "drop continuation",
+    "beta": 0.2,
+    "lr": 5e-6,
+    "epochs": 1,
+}
+DO_NOT = (
+    "train embed_tokens / lm_head / layernorms",
+    "edit genesis tokenizer or chat_template",
+    "SFT the whole mini-coder dump",
+)

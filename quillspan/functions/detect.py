@@ -13,15 +13,11 @@ from quillspan import fixed_values as V
 from quillspan.functions.text import is_submit
 
 
-def _any(alternatives: tuple[str, ...]) -> str:
-    return "|".join(alternatives)
-
-
-EDIT_PATTERN = "(?U)" + _any(V.EDIT_ALTERNATIVES)
-VERIFY_PATTERN = rf"(?iU)\b(?:{_any(V.VERIFY_WORDS)})\b"
-CLAIM_PATTERN = rf"(?iU)\b(?:{_any(V.CLAIM_WORDS)})\b"
-WIDE_SEARCH_PATTERN = rf"(?iU)^\s*(?:{_any(V.WIDE_SEARCH_ALTERNATIVES)})"
-INFRA_PATTERN = rf"(?iU)\b(?:{_any(V.INFRA_ALTERNATIVES)})\b"
+EDIT_PATTERN = "(?U)" + V.EDIT
+VERIFY_PATTERN = "(?iU)" + V.VERIFY
+CLAIM_PATTERN = "(?iU)" + V.CLAIM
+WIDE_SEARCH_PATTERN = "(?iU)" + V.WIDE_SEARCH
+INFRA_PATTERN = "(?iU)" + V.INFRA
 
 
 def _found(text: Column, pattern: str) -> Column:

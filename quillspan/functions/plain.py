@@ -7,7 +7,7 @@ import re
 from quillspan import fixed_values as V
 
 _FENCE = re.compile(V.COMMAND_FENCE, re.S)
-_SUBMIT = re.compile(r"\b(?:" + "|".join(V.SUBMIT_SENTINELS) + r")\b")
+_SUBMIT = re.compile(V.SUBMIT)
 
 
 def first_command(text: str | None) -> str:

@@ -9,7 +9,7 @@ from quillspan import fixed_values as V
 
 # Java's \s is ASCII unless (?U); the four separators below U+0020 are white space too.
 _BLANK = r"[\s\x1c-\x1f]"
-SUBMIT_PATTERN = r"(?U)\b(?:" + "|".join(V.SUBMIT_SENTINELS) + r")\b"
+SUBMIT_PATTERN = "(?U)" + V.SUBMIT
 _FENCE = "(?s)" + V.COMMAND_FENCE
 
 

@@ -63,8 +63,20 @@ def source_rank(source: Column | str = "source") -> Column:
 
 
 def pool_head(entries: DataFrame, max_rows: int) -> DataFrame:
-    """The first `max_rows` entries in the order of sources, shards and rows (a distributed top-k)."""
-    return entries.orderBy(source_rank(), "source", "shard", "row", "instance_id").limit(max_rows)
+    """The first `max_rows` entries in the order of sources, shards and rows.
+
+    The top-k is over keys; of the entries themselves those up to the last key are filtered
+    where they stand, and rows repeated under that key only as far as they count.
+    """
+    key = F.struct(source_rank().alias("rank"), "source", "shard", "row", "instance_id")
+    top = entries.select(key.alias("k")).orderBy("k").limit(max_rows)
+    last = top.groupBy("k").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("k")).first()
+    if last is None:
+        return entries.limit(0)
+    edge = entries.sparkSession.createDataFrame([(last.k,)], top.schema)
+    placed = entries.join(F.broadcast(edge), key <= F.col("k"))
+    before = placed.where(key < F.col("k")).select(*entries.columns)
+    return before.union(placed.where(key == F.col("k")).select(*entries.columns).limit(last.n))
 
 
 def phase_turn(phase: str, first_edit: str = "first_edit", instance_id: str = "instance_id") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -92,7 +93,8 @@ def roll_scripted(prefixes: DataFrame, n: int, turn_for: Callable[[Column, Colum
         )
         return F.when(acc["open"], after).otherwise(acc)
 
-    steps = F.sequence(F.lit(0), F.greatest(F.col("horizon"), F.lit(1)) - 1)
+    horizon = F.greatest(F.col("horizon"), F.lit(0))  # a negative one has no steps
+    steps = F.slice(F.sequence(F.lit(0), F.greatest(horizon, F.lit(1)) - 1), F.lit(1), horizon)
     rolled = base.withColumn("__r", F.aggregate(steps, start, step))
     return rolled.select(
         "sample_id",
@@ -119,20 +121,21 @@ def roll_with(
 ) -> DataFrame:
     """Rollouts of arbitrary policies: `policy_for(rollout)` gives `(messages, step) -> text`.
 
-    Turns of one rollout depend on each other, rollouts do not: rows are spread by
-    (sample_id, rollout) and rolled batch by batch in Arrow.  Policies must be picklable;
-    one that calls a service should keep its client inside the function.
+    Prefixes are spread evenly, each moved once whatever `n` is, and rolled batch by batch
+    in Arrow, all rollouts of one where it is.  Policies must be picklable; one that calls a
+    service should keep its client inside the function.
     """
     from quillspan.functions import plain
 
-    names = ("sample_id", "rollout", "n_rollouts", "phase_wanted", "source", "instance_id", "horizon", "messages")
-    spread = fan_out(prefixes, n).select(*names).repartition("sample_id", "rollout")
+    names = ("sample_id", "n_rollouts", "phase_wanted", "source", "instance_id", "horizon", "messages")
+    tasks = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = fan_out(prefixes, 1).withColumn("n_rollouts", F.lit(n)).select(*names).repartition(tasks)
 
     def roll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                policy = policy_for(row["rollout"])
+            for row, rollout in product(batch.to_pylist(), range(1, n + 1)):
+                policy = policy_for(rollout)
                 messages = [dict(m) for m in row["messages"] or []]
                 tail, commands, stopped = [], [], "horizon"
                 for step in range(row["horizon"]):
@@ -154,6 +157,7 @@ def roll_with(
                 out.append(
                     row
                     | {
+                        "rollout": rollout,
                         "messages": messages,
                         "continuation": tail,
                         "commands": commands,

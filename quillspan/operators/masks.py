@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,19 +155,17 @@ def sft_examples(
                 text, plan = row.pop("__text"), row.pop("__plan")
                 cut, spans = plan["cut"], plan["spans"]
                 ids, offsets = tokenize(text)
-                labels, k = [], 0
-                for token, (start, end) in zip(ids, offsets, strict=True):
-                    while k < len(spans) and spans[k]["end"] <= start:
-                        k += 1
-                    inside = k < len(spans) and end > start >= cut and end > spans[k]["start"]
-                    labels.append(token if inside else V.IGNORE_LABEL)
-                if len(ids) < 2 or all(x == V.IGNORE_LABEL for x in labels):
+                if len(ids) < 2 or not spans:
                     continue
-                labels = labels[:max_len]
-                if drop_fully_masked and all(x == V.IGNORE_LABEL for x in labels):
+                ids = np.asarray(ids, dtype=np.int32)
+                start, end = np.asarray(offsets, dtype=np.int64).reshape(-1, 2).T
+                first, last = (np.array([s[k] for s in spans]) for k in ("start", "end"))
+                at = np.minimum(np.searchsorted(last, start, side="right"), len(spans) - 1)  # first span that ends after the token starts
+                learned = (start >= cut) & (end > start) & (last[at] > start) & (end > first[at])
+                if not learned.any() or (drop_fully_masked and not learned[:max_len].any()):
                     continue
-                ids = ids[:max_len]
-                rows.append(row | {"input_ids": ids, "attention_mask": [1] * len(ids), "labels": labels})
+                labels = np.where(learned, ids, V.IGNORE_LABEL)[:max_len]
+                rows.append(row | {"input_ids": ids[:max_len], "attention_mask": np.ones(len(labels), np.int32), "labels": labels})
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema

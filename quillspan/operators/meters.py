@@ -5,17 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspan import fixed_values as V
 from quillspan.functions import detect
 from quillspan.schema import truthy
 
-PASS_IF = {
-    "cold_verify_rate": "up vs baseline",
-    "cold_edit_rate": "flat (must not drop)",
-    "pre_edit_no_wide": "up",
-    "pre_edit_edit_rate": "up",
-    "loop_rate": "near 0",
-}
-
 
 def _rate(hit: Column, of: Column) -> Column:
     return F.try_divide(F.count_if(hit & of).cast("double"), F.count_if(of))
@@ -66,7 +59,7 @@ def meter_report(judged: DataFrame) -> dict:
     counts["all"] = row["n_all"]
     counts |= {r["phase"]: r["n"] for r in phase_counts(judged).toLocalIterator()}
     rates = {k: v for k, v in row.items() if not k.startswith("n_")}
-    return {"n": counts} | rates | {"pass_if": PASS_IF}
+    return {"n": counts} | rates | {"pass_if": V.PASS_IF}
 
 
 def counters(prefixes: DataFrame) -> DataFrame:

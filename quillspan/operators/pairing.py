@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from quillspan import fixed_values as V
 from quillspan.functions import turns
+from quillspan.operators.ordinals import with_ordinal
 from quillspan.schema import TURNS
+from quillspan.session import cut_lineage
 
 
 def sft_rows(judged: DataFrame) -> DataFrame:
@@ -21,12 +23,11 @@ def sft_rows(judged: DataFrame) -> DataFrame:
 def pair_keys(judged: DataFrame) -> DataFrame:
     """(sample_id, k, chosen_rollout, rejected_rollout): the k-th keep with the k-th drop of a sample.
 
-    Both sides are ranked by rollout.  One shuffle of three narrow columns: ranks are
-    computed over sample_id, and the sides meet in a group of the same key, so the
-    partitioning is reused.  Rows with a null sample_id form one group, as in a dict.
+    Both sides are ranked by rollout.  Only narrow columns are read, once; a sample of any
+    number of rollouts is ranked over range partitions.  Rows with a null sample_id form one
+    group, as in a dict.
     """
-    w = Window.partitionBy("sample_id", "keep").orderBy("rollout")
-    ranked = judged.select("sample_id", "keep", "rollout").withColumn("k", F.row_number().over(w))
+    ranked = _ranked(judged.select("sample_id", "keep", "rollout"))
     paired = ranked.groupBy("sample_id", "k").agg(
         F.max(F.when(F.col("keep"), F.col("rollout"))).alias("chosen_rollout"),
         F.max(F.when(~F.col("keep"), F.col("rollout"))).alias("rejected_rollout"),
@@ -34,37 +35,49 @@ def pair_keys(judged: DataFrame) -> DataFrame:
     return paired.where("chosen_rollout is not null and rejected_rollout is not null")
 
 
+def _ranked(verdicts: DataFrame) -> DataFrame:
+    """Add `k`: the place, from 1, of a rollout among those of its sample and verdict."""
+    verdicts = cut_lineage(verdicts)  # judged once, although range partitions sample their input
+    at = with_ordinal(verdicts, ["sample_id", "keep", "rollout"], "__at", within=["sample_id", "keep"])
+    return at.withColumn("k", (F.col("__at") + 1).cast("int")).drop("__at")
+
+
 def dpo_rows(judged: DataFrame) -> DataFrame:
     """Preference rows: positional pairs of keeps and drops of a sample, leftovers unpaired.
 
-    (sample_id, rollout) must identify rows.  The turn arrays move once, to their pair.
+    (sample_id, rollout) must identify rows; a null sample_id is a sample of its own.
+    Verdicts are computed once, as narrow rows.  The turn arrays are read once, for both
+    sides, and only those of paired rollouts move, each to its (sample, k).
     """
-    pairs = pair_keys(judged)
+    ranked = _ranked(judged.select("sample_id", "keep", "rollout", "reasons"))
+    both = F.count_if("keep").over(Window.partitionBy("sample_id", "k")) == 1
+    both = both & (F.count_if(~F.col("keep")).over(Window.partitionBy("sample_id", "k")) == 1)
+    sides = ranked.withColumn("__both", both).where("__both").drop("__both")
+    wide = judged.select(F.col("sample_id").alias("__s"), F.col("rollout").alias("__r"), "phase_wanted", "messages", "continuation")
+    same = F.col("sample_id").eqNullSafe(F.col("__s")) & F.col("rollout").eqNullSafe(F.col("__r"))
+    told = sides.join(wide, same)
     empty = F.array().cast(TURNS)
-    good = judged.where("keep").select(
-        "sample_id",
-        F.col("rollout").alias("chosen_rollout"),
-        "phase_wanted",
-        turns.prefix_of(F.col("messages"), F.col("continuation")).alias("prompt"),
-        F.coalesce("continuation", empty).alias("chosen"),
+    said = F.struct(
+        "rollout",
+        F.coalesce("continuation", empty).alias("said"),
+        F.when(F.col("keep"), turns.prefix_of(F.col("messages"), F.col("continuation"))).alias("prompt"),
+        F.when(F.col("keep"), F.col("phase_wanted")).alias("phase_wanted"),
+        F.when(~F.col("keep"), F.col("reasons")).alias("reasons"),
     )
-    bad = judged.where("drop").select(
-        "sample_id",
-        F.col("rollout").alias("rejected_rollout"),
-        F.coalesce("continuation", empty).alias("rejected"),
-        F.col("reasons").alias("rejected_reasons"),
+    paired = told.groupBy("sample_id", "k").agg(
+        F.first(F.when(F.col("keep"), said), ignorenulls=True).alias("a"),
+        F.first(F.when(~F.col("keep"), said), ignorenulls=True).alias("b"),
     )
-    joined = pairs.join(good, ["sample_id", "chosen_rollout"]).join(bad, ["sample_id", "rejected_rollout"])
-    return joined.select(
+    return paired.select(
         F.lit("dpo").alias("kind"),
         "sample_id",
-        "phase_wanted",
-        "prompt",
-        "chosen",
-        "rejected",
-        "chosen_rollout",
-        "rejected_rollout",
-        "rejected_reasons",
+        F.col("a.phase_wanted").alias("phase_wanted"),
+        F.col("a.prompt").alias("prompt"),
+        F.col("a.said").alias("chosen"),
+        F.col("b.said").alias("rejected"),
+        F.col("a.rollout").alias("chosen_rollout"),
+        F.col("b.rollout").alias("rejected_rollout"),
+        F.col("b.reasons").alias("rejected_reasons"),
     )
 
 

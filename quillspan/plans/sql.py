@@ -29,7 +29,7 @@ _INFRA = (
     rf"(?i)\b(?:pip3?[{_S}]+install\b[^\n]*\bpytest\b|python3?[{_S}]+-m[{_S}]+pip[{_S}]+install[^\n]*\bpytest\b|"
     rf"which[{_S}]+pytest|find[{_S}]+/[{_S}]+-name[{_S}]+[\"'']pytest[\"'']\b)"
 )
-_SUBMIT = r"\b(?:" + "|".join(V.SUBMIT_SENTINELS) + r")\b"
+_SUBMIT = V.SUBMIT
 _FENCE = r"```(?:bash|sh|shell)?[ \t]*\n((?s:.*?))```"
 
 

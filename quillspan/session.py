@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -19,6 +21,9 @@ TUNED = {
 }
 
 
+SPREAD_BYTES = 1 << 30
+
+
 def build_session(app: str = "quillspan", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's defaults; `conf` entries (dots as `__`) override them."""
     builder = SparkSession.builder.appName(app)
@@ -33,15 +38,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     A cluster names a shared folder in `spark.checkpoint.dir`; it is used as it is.  Only
-    where neither that setting nor a folder set by the caller exists (tests, one machine)
-    a folder below the system's temporary one is set.
+    where neither that setting nor a folder set by the caller exists and the session runs on
+    this machine alone (tests), a folder below the system's temporary one is set, and removed
+    when Python ends; a cluster without a shared folder is an error.
     """
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), f"quillspan-checkpoints-{os.getuid()}"))
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="quillspan-checkpoints-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    context.setCheckpointDir(shared)
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -52,15 +63,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer partitions than the session has cores, dealt out over them; any other as it is.
+    """A small scan of fewer partitions than the session has cores, dealt out over them; any other as it is.
 
     For work per row that outweighs moving the row: a table of one small file would
-    otherwise keep one core busy.  Large tables have more partitions than cores and are
-    never shuffled.  Pass the columns you need only.
+    otherwise keep one core busy.  What the planner takes to be over `SPREAD_BYTES` is never
+    moved, whatever the cluster's size: such a scan has tasks enough.  Rows and results
+    are the same either way.  Pass the columns you need only.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    partitions = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if partitions < cores else df
+    plan = df._jdf.queryExecution()
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
+        return df
+    return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df
 
 
 _shipped: set[str] = set()
@@ -76,7 +90,9 @@ def ship_package(spark: SparkSession) -> None:
     if application in _shipped:
         return
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="quillspan-")) / "quillspan_src.zip"
+    folder = tempfile.mkdtemp(prefix="quillspan-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "quillspan_src.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for source in sorted(root.rglob("*.py")):
             z.write(source, Path("quillspan") / source.relative_to(root))

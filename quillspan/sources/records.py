@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspan import fixed_values as V
+
 
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """Records of one or more JSON Lines files or folders; blank lines are skipped.
@@ -41,21 +43,33 @@ def read_split(spark: SparkSession, path: str, schema: T.StructType, keep: bool
     return rows.select(*schema.fieldNames())
 
 
-def write_report(report: dict, path: str) -> None:
-    """A small report or recipe as indented JSON."""
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.write_text(json.dumps(report, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
+def write_report(report: dict, path: str, spark: SparkSession | None = None) -> None:
+    """A small report or recipe as indented JSON, in one file.
+
+    With a session, on whatever file system the path names; without one, on this machine's.
+    """
+    text = json.dumps(report, indent=2, ensure_ascii=False) + "\n"
+    if spark is None:
+        target = Path(path)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text(text, encoding="utf-8")
+        return
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
 
 
 def recipe(base: str, sft: str, dpo: str, out_dir: str) -> dict:
     """What a training run would read and how; nothing is trained here."""
-    common = {"lr": 5e-6, "epochs": 1}
     return {
         "base": base,
         "order": ["sft", "dpo"],
-        "sft": common | {"data": sft, "loss": "assistant turns after n_prefix"},
-        "dpo": common
-        | {"data": dpo, "beta": 0.2, "prompt": "prefix", "chosen": "keep", "rejected": "drop"},
+        "sft": {"data": sft} | V.SFT_RECIPE,
+        "dpo": {"data": dpo} | V.DPO_RECIPE,
+        "do_not": list(V.DO_NOT),
         "out_dir": out_dir,
+        "adapter_dir": f"{out_dir.rstrip('/')}/adapter",
     }

@@ -43,7 +43,7 @@ def test_submit_is_word_bounded_and_case_sensitive(spark):
 
 
 def test_edit_detector(spark):
-    python = re.compile("|".join(V.EDIT_ALTERNATIVES))
+    python = re.compile(V.EDIT)
     cases = [
         "sed -i s/a/b/ x",
         "sed\xa0-i s/a/b/ x",
@@ -117,12 +117,12 @@ def test_transcript_cuts(spark):
     df = spark.createDataFrame([(transcript(),)], f"m {TURNS}")
     m = F.col("m")
     row = df.select(turns.first_edit_index(m).alias("fe"), turns.assistant_count(m).alias("n")).first()
-    assert (row.fe, row.n) == (5, 6)
-    for idx, label, n in ((1, "cold", 1), (2, "cold", 2), (3, "pre_edit", 3), (5, "at_edit", 5)):
+    assert (row.fe, row.n) == (4, 7)
+    for idx, label, n in ((1, "cold", 1), (2, "cold", 2), (3, "pre_edit", 3), (4, "at_edit", 4), (6, "at_edit", 6)):
         cut = turns.cut_before(m, F.lit(idx))
         got = df.select(turns.phase_of(cut), turns.assistant_count(cut), F.size(cut)).first()
         assert tuple(got) == (label, n, 2 * idx + 1)
-    assert df.select(turns.cut_before(m, F.lit(6))).first()[0] is None
+    assert df.select(turns.cut_before(m, F.lit(7))).first()[0] is None
 
 
 def test_cut_drops_empty_turns_and_maps_roles(spark):

@@ -96,7 +96,8 @@ def test_greedy_pick_equals_the_serial_fold_over_everything(spark, monkeypatch):
     schema = "source string, shard string, row int, repo string, __h bigint, can_cold boolean, can_pre_edit boolean, can_at_edit boolean"
     df = spark.createDataFrame(rows, schema)
     monkeypatch.setattr(sampling, "pick_candidates", lambda entries, seed: entries)
-    for count, cap in ((50, 3), (200, 8)):
+    for count, cap, limit in ((50, 3, 999), (200, 8, 999), (50, 3, 2), (200, 8, 5)):
+        monkeypatch.setattr(sampling, "_GROUP_LIMIT", limit)  # as if counts and caps were large
         got = sorted(sampling.greedy_pick(df, count=count, repo_cap=cap).collect(), key=lambda r: r.pick_ord)
         pool = [(r[2], r[0], r[3], dict(zip(V.PHASES, r[5:], strict=True))) for r in sorted(rows, key=lambda r: (r[4], r[1], r[2]))]
         want = _greedy_by_hand(pool, count, cap, sampling.apportion(V.OVERFIT_PHASE_SHARES, count), sampling.apportion(V.OVERFIT_SOURCE_SHARES, count))
@@ -104,6 +105,29 @@ def test_greedy_pick_equals_the_serial_fold_over_everything(spark, monkeypatch):
         assert [r.horizon for r in got] == [V.HORIZONS[i % 2] for i in range(len(got))]
 
 
+def test_first_by_hash_against_sorting(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "_GROUP_LIMIT", 0)
+    rng = random.Random(3)
+    hashes = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(40)]
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice(hashes), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, h bigint, i int")
+    for most in (1, 7, 60, 1000):
+        got = {tuple(r) for r in sampling.first_by_hash(df, ["g"], most, "h", ["i"]).collect()}
+        want = {r for g in ("a", "b", None) for r in sorted((r for r in rows if r[0] == g), key=lambda r: r[1:])[:most]}
+        assert got == want
+    assert sampling.first_by_hash(df.limit(0), ["g"], 2, "h", ["i"]).count() == 0
+
+
+def test_pool_head_counts_repeated_rows(spark):
+    schema = "source string, shard string, row int, instance_id string, body string"
+    rows = [("x", "s", 1, "a", "1"), ("swe-hero", "s", 2, "a", "2"), ("swe-hero", "s", 2, "a", "2"), ("swe-hero", "s", 1, None, "3"), ("mini-coder", "s", 9, "a", "4"), (None, None, 0, "a", "5")]
+    df = spark.createDataFrame(rows, schema)
+    order = ["4", "3", "2", "2", "5", "1"]
+    for n in range(8):
+        assert sorted(r.body for r in cutting.pool_head(df, n).collect()) == sorted(order[:n])
+    assert cutting.pool_head(df.limit(0), 3).count() == 0
+
+
 def test_ordinals(spark):
     values = [5, 3, 3, 9, None, 1, 3]
     for parts in (1, 3):
@@ -119,8 +143,10 @@ def test_splits(spark):
     df = spark.createDataFrame([(f"k{i:03d}", "ab"[i % 2]) for i in range(100)], "k string, s string")
     held = sampling.head_split(df, ["k"], 40)
     assert [r.k for r in held.where("held_out").orderBy("k").collect()] == [f"k{i:03d}" for i in range(40)]
-    strata = sampling.stratified_split(df, ["s"], ["k"], 0.1).where("held_out").groupBy("s").count().collect()
-    assert {r.s: r["count"] for r in strata} == {"a": 5, "b": 5}
+    more = df.union(spark.createDataFrame([(f"n{i}", None) for i in range(10)], df.schema))
+    strata = sampling.stratified_split(more, ["s"], ["k"], 0.1).where("held_out").collect()
+    assert {r.k for r in strata} == {f"k{i:03d}" for i in range(10)} | {"n0"}
+    assert sampling.stratified_split(df.limit(0), ["s"], ["k"], 0.1).count() == 0
     assert sampling.head_split(df.limit(0), ["k"]).count() == 0
     assert sampling.modulo_shard(df, ["k"], 3, 4).count() == 25
     apart = sampling.disjoint_from(df, df.where("s = 'a'"), ["s"])
@@ -140,6 +166,10 @@ def test_scripted_and_python_rollouts_agree(spark):
     assert a == b
     assert [r.stopped for r in a] == ["submit", "horizon", "submit"]
     assert [len(r.commands) for r in a] == [3, 4, 3]
+    never = p.withColumn("horizon", F.lit(-2))
+    a, b = expand.roll_scripted(never, 2), expand.roll_with(never, 2, lambda _r: expand.skipping_policy)
+    for row in [*a.collect(), *b.collect()]:
+        assert row.commands == [] and row.continuation == [] and row.stopped == "horizon"
 
 
 def test_bad_turns_end_a_rollout(spark):
@@ -221,6 +251,12 @@ def test_pairing(spark, parts):
     assert states == {"a": "both", "b": "both", "c": "all_keep", "d": "all_drop", "e": "both"}
     assert pairing.readiness(df, 8, 3).first().ready and not pairing.readiness(df, 9, 3).first().ready
     assert pairing.dpo_rows(df.limit(0)).count() == 0
+    nameless = df.withColumn("sample_id", F.when(F.col("sample_id") != "e", F.col("sample_id")))
+    assert {(r.sample_id, r.chosen_rollout, r.rejected_rollout) for r in pairing.dpo_rows(nameless).collect()} == got_of(got)
+
+
+def got_of(got):
+    return {(None if s == "e" else s, a, b) for s, a, b in got}
 
 
 def test_meters(spark):

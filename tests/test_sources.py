@@ -22,7 +22,7 @@ def test_pool_reads_shards_with_differing_columns(spark, tmp_path):
     a = pool.read_source(spark, str(tmp_path), "mini-coder")
     assert a.select("shard", "row_in_shard").first() == ("mini-coder/data/train-00000.parquet", 0)
     b = trajectory_entries(pool.read_source(spark, str(tmp_path), "swe-hero")).first()
-    assert (b.first_edit, b.asst, b.language) == (5, 6, "python")
+    assert (b.first_edit, b.asst, b.language) == (4, 7, "python")
     whole = pool.read_pool(spark, str(tmp_path), ("mini-coder", "open-swe-traces"))
     assert whole.count() == 1 and "first_edit" in whole.columns
     assert pool.read_pool(spark, str(tmp_path), ("open-swe-traces",)).count() == 0

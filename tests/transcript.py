@@ -1,22 +1,22 @@
-"""A hand-written transcript of 13 turns whose fifth assistant turn edits, and rollouts of it."""
+"""A hand-written transcript: a stale cache entry is looked for, found and mended by the fourth command."""
 
 COMMANDS = (
-    "cat lib/stack.py",
-    "python -c 'from lib.stack import pop; print(pop([]))'",
-    "grep -n pop lib/stack.py",
-    "sed -n '1,9p' lib/stack.py",
-    "sed -i 's/return items/return items[:-1]/' lib/stack.py",
-    "python -c 'from lib.stack import pop; print(pop([1]))'",
+    "ls -R cache",
+    "go test ./cache -run Expire",
+    "awk 'NR>=40 && NR<=75' cache/expire.go",
+    "perl -0pi -e 's/<= now/< now/' cache/expire.go && sed -i '3d' cache/notes.txt",
+    "git diff --stat",
+    "go test ./cache -count=3",
+    "tail -n 5 cache/notes.txt",
 )
 TURNS = "array<struct<role:string,content:string>>"
 
 
-def say(command, thought="next"):
+def say(command, thought="look further"):
     return ("assistant", f"THOUGHT: {thought}\n\n```bash\n{command}\n```")
 
 
 def turns(commands=COMMANDS):
-    out = [("user", "pop returns its argument unchanged. Mend lib/stack.py.")]
-    for c in commands:
-        out += [say(c), ("user", "<returncode>0</returncode>\n<output>\nok\n</output>")]
-    return out
+    """The ticket, then each command with what it printed."""
+    seen = ("user", "<returncode>0</returncode>\n<output>\ndone\n</output>")
+    return [("user", "Entries are kept for a second too long."), *(t for c in commands for t in (say(c), seen))]
