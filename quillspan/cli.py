@@ -69,7 +69,10 @@ def filter_(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def pack(spark: SparkSession, a: argparse.Namespace) -> int:
-    judged = records.read_split(spark, a.judged, JUDGED)
+    if a.judged:
+        judged = records.read_split(spark, a.judged, JUDGED)
+    else:
+        judged = records.read_jsonl(spark, [a.rollouts] if a.rollouts else [a.keep, a.drop], JUDGED)
     records.write_jsonl(pairing.sft_rows(judged), f"{a.out_dir}/sft")
     records.write_jsonl(pairing.dpo_rows(judged), f"{a.out_dir}/dpo")
     _show("keeps, pairs, keeps without a pair:", pairing.unpaired_keeps(judged))
@@ -84,16 +87,59 @@ def gate(spark: SparkSession, a: argparse.Namespace) -> int:
         report = meters.meter_report(judge(records.read_jsonl(spark, a.rollouts, ROLLOUT)))
     else:
         report = {"n": {}, "note": "no rollouts given", "meters": list(V.PASS_IF), "pass_if": V.PASS_IF}
-    records.write_report(report, a.out)
+    records.write_report(report, a.out, spark)
     print(json.dumps(report, indent=2))
     return 0
 
 
 def recipe(_spark: SparkSession | None, a: argparse.Namespace) -> int:
-    records.write_report(records.recipe(a.base, a.sft, a.dpo, a.out_dir), f"{a.out_dir}/recipe.json")
+    own = records.recipe(a.base, a.sft, a.dpo, a.out_dir)
+    records.write_report(own, f"{a.out_dir}/recipe.json")
+    for i, step in enumerate((f"sft: base {own['base']}, data {own['sft']['data']}", f"dpo: base the sft result, data {own['dpo']['data']}, beta {own['dpo']['beta']}", f"merge into {own['adapter_dir']}", "gate on the held-out prefixes"), 1):
+        print(f"{i}.", step)
     return 0
 
 
+def self_test(spark: SparkSession, step: str) -> int:
+    """Whether a step gives what it should on one built-in ticket; prints every expectation, 1 if one fails."""
+    from quillspan.functions import turns
+
+    def said(command: str) -> str:
+        return f"THOUGHT: next\n\n```bash\n{command}\n```"
+
+    commands = ("ls -R cache", "go test ./cache", "head cache/expire.go", "sed -i s/a/b/ cache/expire.go", "go test ./cache", "git diff")
+    ticket = [("user", "Entries are kept too long."), *(t for c in commands for t in (("assistant", said(c)), ("user", "done")))]
+    one = spark.createDataFrame([(ticket,)], "messages array<struct<role:string,content:string>>")
+    messages, expected = F.col("messages"), {}
+    if step == "cut":
+        expected["first edit"] = (one.select(turns.first_edit_index(messages)).first()[0], 4)
+        for index, phase in ((1, "cold"), (2, "cold"), (3, "pre_edit"), (4, "at_edit")):
+            cut_there = turns.cut_before(messages, F.lit(index))
+            row = one.select(turns.phase_of(cut_there), turns.assistant_count(cut_there)).first()
+            expected[f"phase and assistant turns before {index}"] = (tuple(row), (phase, index))
+    else:
+        head = turns.cut_before(messages, F.lit(2))
+        known = {"sample_id": F.lit("self:0:2"), "phase_wanted": F.lit("cold"), "horizon": F.lit(4), "messages": head}
+        prefix = one.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PREFIX.fields])
+        judged = judge(expand.roll_scripted(prefix, 2))
+        rows = {r.rollout: r for r in judged.collect()}
+        if step == "roll":
+            expected["how rollouts stop"] = ([rows[i].stopped for i in (1, 2)], ["submit", "horizon"])
+            expected["commands of rollouts"] = ([len(rows[i].commands) for i in (1, 2)], [3, 4])
+        elif step == "filter":
+            expected["kept"] = ([rows[i].keep for i in (1, 2)], [True, False])
+            expected["reasons"] = (list(rows[2].reasons), ["loop:dup_ratio=0.50", "no_verify_after_edit"])
+        else:
+            pair = pairing.dpo_rows(judged).collect()
+            expected["supervised rows and pairs"] = ((pairing.sft_rows(judged).count(), len(pair)), (1, 1))
+            expected["rollouts of the pair"] = ([(p.chosen_rollout, p.rejected_rollout) for p in pair], [(1, 2)])
+    for what, (got, want) in expected.items():
+        print(f"{what}: {got}" + ("" if got == want else f", expected {want}"))
+    good = all(got == want for got, want in expected.values())
+    print("PASS" if good else "FAIL")
+    return 0 if good else 1
+
+
 def examples(spark: SparkSession, a: argparse.Namespace) -> int:
     sft = records.read_jsonl(spark, a.sft, SFT)
     tokenize = masks.file_tokenizer(a.vocabulary) if a.vocabulary else masks.blank_tokenizer
@@ -106,10 +152,17 @@ def examples(spark: SparkSession, a: argparse.Namespace) -> int:
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="quillspan", description=__doc__)
     sub = top.add_subparsers(dest="step", required=True)
+
+    def needs_one(p: argparse.ArgumentParser, *ways: tuple[str, ...]) -> None:
+        """Require all options of one of the ways, or `--self-test`."""
+        p.add_argument("--self-test", action="store_true", help="check the step on a built-in ticket")
+        p.set_defaults(ways=ways)
+
     p = sub.add_parser("cut", help="trajectories to prefixes")
     p.set_defaults(run=cut)
-    p.add_argument("--data-root", required=True)
-    p.add_argument("--out", required=True)
+    needs_one(p, ("data_root", "out"))
+    p.add_argument("--data-root")
+    p.add_argument("--out")
     p.add_argument("--sources", default=",".join(V.SOURCES))
     p.add_argument("--count", type=int, default=200)
     p.add_argument("--pack", choices=("overfit", "eval"), default="overfit")
@@ -118,8 +171,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-scan", type=int, help="only this many usable rows, in order")
     p = sub.add_parser("roll", help="prefixes to rollouts")
     p.set_defaults(run=roll)
-    p.add_argument("--prefixes", required=True)
-    p.add_argument("--out", required=True)
+    needs_one(p, ("prefixes", "out"))
+    p.add_argument("--prefixes")
+    p.add_argument("--out")
     p.add_argument("--n", type=int, default=4)
     p.add_argument("--backend", choices=("scripted", "chat"), default="scripted")
     p.add_argument("--base-url", default="http://127.0.0.1:8000/v1")
@@ -128,19 +182,26 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--shard", default="0/1", help="i/n: prefixes at positions i modulo n")
     p = sub.add_parser("filter", help="rollouts to judged rollouts, split by keep")
     p.set_defaults(run=filter_)
-    p.add_argument("--rollouts", required=True)
-    p.add_argument("--out-dir", required=True)
+    needs_one(p, ("rollouts", "out_dir"))
+    p.add_argument("--rollouts")
+    p.add_argument("--out-dir")
     p = sub.add_parser("pack", help="judged rollouts to supervised and preference rows")
     p.set_defaults(run=pack)
-    p.add_argument("--judged", required=True)
-    p.add_argument("--out-dir", required=True)
+    needs_one(p, ("judged", "out_dir"), ("rollouts", "out_dir"), ("keep", "drop", "out_dir"))
+    p.add_argument("--judged", help="folder written by `filter`")
+    p.add_argument("--rollouts", help="judged rollouts, kept and dropped in one file or folder")
+    p.add_argument("--keep")
+    p.add_argument("--drop")
+    p.add_argument("--out-dir")
     p = sub.add_parser("gate", help="rate meters")
     p.set_defaults(run=gate)
+    p.add_argument("--run", action="store_true", dest="live", help="refused: no model is rolled here")
     p.add_argument("--judged")
     p.add_argument("--rollouts")
     p.add_argument("--out", required=True)
     p = sub.add_parser("recipe", help="what a training run would read")
     p.set_defaults(run=recipe)
+    p.add_argument("--run", action="store_true", dest="live", help="refused: nothing is trained here")
     p.add_argument("--base", required=True)
     p.add_argument("--sft", required=True)
     p.add_argument("--dpo", required=True)
@@ -157,10 +218,18 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
+    if getattr(a, "live", False):
+        print("refused: this program prepares data only", file=sys.stderr)
+        return 2
+    ways = getattr(a, "ways", ((),))
+    if not getattr(a, "self_test", False) and not any(all(getattr(a, name) for name in way) for way in ways):
+        needed = " or ".join(" ".join(f"--{name.replace('_', '-')}" for name in way) for way in ways)
+        print(f"{a.step}: needs {needed}", file=sys.stderr)
+        return 2
     if a.step != "recipe":
         spark = spark or build_session()
         ship_package(spark)
-    return a.run(spark, a)
+    return self_test(spark, a.step) if getattr(a, "self_test", False) else a.run(spark, a)
 
 
 if __name__ == "__main__":

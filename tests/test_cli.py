@@ -1,8 +1,13 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillspan import cli
+from quillspan.operators.judge import judge
+from quillspan.schema import JUDGED
+from quillspan.sources import records
+from tests.test_operators import CHECK, EDIT, rollout
 from tests.transcript import TURNS, turns as transcript
 
 
@@ -33,6 +38,32 @@ def test_steps_from_trajectories_to_meters(spark, tmp_path, capsys):
     assert "reason:" in capsys.readouterr().out
 
 
+def test_pack_reads_all_forms_of_judged_rollouts(spark, tmp_path):
+    rows = judge(rollout(spark, [CHECK, EDIT, CHECK]).union(rollout(spark, ["ls"]).withColumn("rollout", F.lit(2))))
+    rows = rows.select(*JUDGED.fieldNames())
+    for name, part in (("both", rows), ("keep", rows.where("keep")), ("drop", rows.where("drop"))):
+        records.write_jsonl(part, str(tmp_path / name))
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    assert cli.main(["pack", "--rollouts", str(tmp_path / "both"), "--out-dir", one], spark) == 0
+    assert cli.main(["pack", "--keep", str(tmp_path / "keep"), "--drop", str(tmp_path / "drop"), "--out-dir", two], spark) == 0
+    for kind in ("sft", "dpo"):
+        got = [sorted(r.value for r in spark.read.text(f"{d}/{kind}").collect()) for d in (one, two)]
+        assert got[0] == got[1] and len(got[0]) == 1
+    assert cli.main(["pack", "--keep", "x", "--out-dir", "y"], spark) == 2
+
+
+@pytest.mark.parametrize("step", ["cut", "roll", "filter", "pack"])
+def test_self_tests(spark, step, capsys):
+    assert cli.main([step, "--self-test"], spark) == 0
+    assert capsys.readouterr().out.endswith("PASS\n")
+
+
+def test_live_runs_are_refused(capsys):
+    assert cli.main(["gate", "--out", "x", "--run"]) == 2
+    assert cli.main(["recipe", "--base", "b", "--sft", "s", "--dpo", "d", "--out-dir", "o", "--run"]) == 2
+    assert capsys.readouterr().err.count("refused") == 2
+
+
 def test_examples_with_a_vocabulary(spark, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     own = tokenizers.Tokenizer(tokenizers.models.BPE())
