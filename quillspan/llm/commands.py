@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 
+import xxhash
+
 # --- fixed values: options of common programs -------------------------------------------
 # program: (short options that take a value, {long name: short name}, long options that take a value)
 _GREP = {
@@ -350,17 +352,23 @@ def canonical(command: str | None) -> str | None:
     return "\x00".join(parts) + ("\x03" + body if body else "")
 
 
-_forms: dict[str, str | None] = {}
+_digests: dict[str, bytes | None] = {}
+
+
+def form_digest(command: str | None) -> bytes | None:
+    """128 bits of the canonical form; null for null and blank commands."""
+    form = canonical(command)
+    return None if form is None else xxhash.xxh3_128_digest(form.encode("utf-8", "surrogatepass"))
 
 
-def cached_form(command: str | None, entries: int = 200_000) -> str | None:
-    """`canonical`, remembering short commands of this process up to a bound."""
+def cached_digest(command: str | None, entries: int = 200_000) -> bytes | None:
+    """`form_digest`, remembering short commands of this process up to a bound."""
     if command is None or len(command) > 4000:
-        return canonical(command)
+        return form_digest(command)
     try:
-        return _forms[command]
+        return _digests[command]
     except KeyError:
-        if len(_forms) >= entries:
-            _forms.clear()
-        form = _forms[command] = canonical(command)
-        return form
+        if len(_digests) >= entries:
+            _digests.clear()
+        digest = _digests[command] = form_digest(command)
+        return digest

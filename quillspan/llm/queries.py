@@ -11,6 +11,7 @@ from quillspan import fixed_values as V
 from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, residue, runs
 from quillspan.plans.sql import _S as BLANKS
 from quillspan.plans.tables import table
+from quillspan.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,19 +146,24 @@ def p3_all_defects(spark: SparkSession, d: str) -> DataFrame:
 _ROLLOUT = ["sample_id", "rollout"]
 
 
+def _collapsed(spark: SparkSession, d: str, carry: list[str] = ()) -> DataFrame:
+    rows = table(spark, d, "rollouts").select(*_ROLLOUT, "commands", "cmd_ms")
+    events = runs.command_events(rows, _ROLLOUT, text=bool(carry))
+    events = cut_lineage(events.where("form is not null"))  # commands are parsed once, though bounds are sampled
+    return runs.collapse_runs(events, [*_ROLLOUT, "version"], carry=carry)
+
+
 @query
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "rollouts").select(*_ROLLOUT, "commands")
-    events = runs.command_events(rows, _ROLLOUT, ms=None)
-    found = runs.collapse_runs(events, [*_ROLLOUT, "version"]).where("n >= 2")
+    """The runs of `p4_collapsed` that are more than one entry, durations summed there and here."""
+    found = _collapsed(spark, d).where("n >= 2")
     return found.select(*_ROLLOUT, "first_pos", "last_pos").distinct()
 
 
 @query
 def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "rollouts").select(*_ROLLOUT, "commands", "cmd_ms")
-    events = runs.command_events(rows, _ROLLOUT, text=True)
-    found = runs.collapse_runs(events, [*_ROLLOUT, "version"], carry=["command"])
+    """Every list with its runs as one entry: count, summed duration and the command as first written."""
+    found = _collapsed(spark, d, ["command"])
     return found.select(*_ROLLOUT, "first_pos", "last_pos", "n", "total_ms", "command").distinct()
 
 

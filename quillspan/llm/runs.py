@@ -10,60 +10,74 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspan.llm.commands import cached_form
+from quillspan.llm.commands import cached_digest
 from quillspan.session import cut_lineage, spread
 
-_EDGES = "__part", "__place"
+FAN_IN = 256
+_EDGES = "__block", "__place"
 
 
-def _local_runs(n_seq: int, carried: int, schema: pa.Schema):
-    """Runs within one sorted partition; its first and last run are marked by `__part`.
+def _encoder(n_seq: int, schema: pa.Schema, blocks: bool):
+    """Joins what is adjacent in sorted rows; the first and last run of each block are marked by `__block`.
 
-    Rows come as (sequence columns, pos, form, ms, carried); repeated positions are
-    skipped.  Only the open run is held.
+    Rows of events are (sequence columns, pos, form, ms, carried), all of a partition being
+    one block; those of runs (`blocks`) are laid out as `schema`.  Of repeated positions the
+    first counts.  Only the open run is held.
     """
 
+    def read(batch: pa.RecordBatch, part: int) -> Iterator[tuple]:
+        rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        if blocks:
+            for row in rows:
+                yield row[-2], row[:n_seq], row[n_seq], *row[n_seq + 1 : n_seq + 5], row[n_seq + 5 : -2]
+        else:
+            for row in rows:
+                pos, form, ms = row[n_seq : n_seq + 3]
+                yield part, row[:n_seq], form, pos, pos, 1, ms, row[n_seq + 3 :]
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        runs: list[list] = []
-        open_run: list | None = None
-        n_runs = 0
+        done: list[tuple] = []
+        run: list | None = None
+        place = 0
+
+        def close(last: bool) -> None:
+            block, seq, form, first, end, n, ms, more = run
+            done.append((*seq, form, first, end, n, ms, *more, block if last or place == 0 else None, place))
 
-        def emit(rows: list[list]) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) or [()] * len(schema)
-            return pa.RecordBatch.from_arrays(
+        def emit() -> pa.RecordBatch:
+            columns = list(zip(*done, strict=True)) or [()] * len(schema)
+            batch = pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
+            done.clear()
+            return batch
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                seq, (pos, form, ms) = row[:n_seq], row[n_seq : n_seq + 3]
-                if open_run is not None and open_run[0] == seq:
-                    _, kind, _first, last, count, total, _more = open_run
-                    if pos == last:
-                        continue
-                    if kind == form and pos == last + 1:
-                        open_run[3] = pos
-                        open_run[4] = count + 1
-                        if ms is not None:
-                            open_run[5] = ms + (total or 0)
-                        continue
-                if open_run is not None:
-                    runs.append(_row(open_run, part if n_runs == 0 else None, n_runs))
-                    n_runs += 1
-                open_run = [seq, form, pos, pos, 1, ms, row[n_seq + 3 :]]
-            if len(runs) >= 10_000:
-                yield emit(runs)
-                runs.clear()
-        if open_run is not None:
-            runs.append(_row(open_run, part, n_runs))
-        yield emit(runs)
-
-    def _row(run: list, part: int | None, place: int) -> list:
-        seq, form, first, last, count, total, more = run
-        return [*seq, form, first, last, count, total, *more, part, place]
+            for row in read(batch, part):
+                block, seq, form, first, end, n, ms, _more = row
+                if run is not None and run[0] == block:
+                    if run[1] == seq:
+                        if end <= run[4]:
+                            continue
+                        if run[2] == form and first == run[4] + 1:
+                            run[4], run[5] = end, run[5] + n
+                            if ms is not None:
+                                run[6] = ms + (run[6] or 0)
+                            continue
+                    close(last=False)
+                    place += 1
+                elif run is not None:
+                    close(last=True)
+                    place = 0
+                run = list(row)
+            if len(done) >= 10_000:
+                yield emit()
+        if run is not None:
+            close(last=True)
+        yield emit()
 
     return encode
 
@@ -79,14 +93,17 @@ def collapse_runs(
     null if none is known.  `carry` columns are those of the run's first event.
 
     Events are range-partitioned by sequence and position, so a sequence of any length is
-    spread; each partition encodes its runs alone.  Only a partition's first and last run
-    can go on elsewhere: those, two rows per partition, are joined where they fit together,
-    which is associative, and the rest is passed through.
+    spread; each partition encodes its runs alone.  Only the first and last run of a
+    partition can go on elsewhere: those are joined, which is associative, over blocks of
+    `FAN_IN` neighbouring partitions at once, then over blocks of such blocks, until one is
+    left.  No task of the merge sees more than two runs of each of its `FAN_IN` parts.
+    `events` are read twice (range bounds are sampled): pass rows that are cheap to read.
     """
     ordered = [*sequence, pos]
     rows = events.where(F.col(form).isNotNull() & F.col(pos).isNotNull())
     rows = rows.select(*sequence, F.col(pos).cast("long").alias(pos), form, F.col(ms).cast("long").alias(ms), *carry)
     placed = rows.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    names = [*sequence, form, "first_pos", "last_pos", "n", "total_ms", *carry]
     out = T.StructType(
         [rows.schema[c] for c in sequence]
         + [rows.schema[form]]
@@ -96,28 +113,19 @@ def collapse_runs(
     )
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    local = cut_lineage(placed.mapInArrow(_local_runs(len(sequence), len(carry), to_arrow_schema(out)), out))
-    part, place = _EDGES
-    inner = local.where(F.col(part).isNull())
-    # two rows per partition: few enough for one ordered window
-    w = Window.partitionBy(F.lit(0)).orderBy(part, place)
-    same = F.lit(True)
-    for c in [*sequence, form]:
-        same = same & F.lag(c).over(w).eqNullSafe(F.col(c))
-    goes_on = same & (F.lag("last_pos").over(w) + 1 == F.col("first_pos"))
-    edges = local.where(F.col(part).isNotNull())
-    edges = edges.withColumn("__new", F.when(goes_on, 0).otherwise(1))
-    edges = edges.withColumn("__run", F.sum("__new").over(w))
-    keys = [*sequence, form]
-    joined = edges.groupBy("__run", *keys).agg(
-        F.min("first_pos").alias("first_pos"),
-        F.max("last_pos").alias("last_pos"),
-        F.sum("n").alias("n"),
-        F.sum("total_ms").alias("total_ms"),
-        *[F.min_by(c, "first_pos").alias(c) for c in carry],
-    )
-    names = [*keys, "first_pos", "last_pos", "n", "total_ms", *carry]
-    return inner.select(*names).union(joined.select(*names))
+    schema, (block, place) = to_arrow_schema(out), _EDGES
+    level = cut_lineage(placed.mapInArrow(_encoder(len(sequence), schema, False), out))
+    closed = level.where(F.col(block).isNull()).select(*names)
+    while True:
+        edges = level.where(F.col(block).isNotNull())
+        beyond = edges.agg((F.max(block) + 1).alias("n")).first().n or 0
+        if beyond <= 1:
+            return closed.union(edges.select(*names))
+        # the place within the next level's block: that of the part, then first before last
+        parts = edges.withColumn(place, F.col(block)).withColumn(block, F.floor(F.col(block) / FAN_IN).cast("long"))
+        parts = parts.repartition(-(-beyond // FAN_IN), block).sortWithinPartitions(block, place, *sequence, "first_pos")
+        level = cut_lineage(parts.mapInArrow(_encoder(len(sequence), schema, True), out))
+        closed = closed.union(level.where(F.col(block).isNull()).select(*names))
 
 
 def command_events(
@@ -125,10 +133,10 @@ def command_events(
 ) -> DataFrame:
     """(keys, version, pos, form, ms and, on request, command) of every entry of a command list.
 
-    Positions count from 0; `form` is null for null and blank entries.  `ms` is the
-    duration at the same position, null where the list is null or shorter.  `version`
-    tells lists apart that are stored under one key with different contents; equal rows
-    loaded twice give equal events.
+    Positions count from 0.  `form` is a 128-bit digest of the command's canonical form, null
+    for null and blank entries.  `ms` is the duration at the same position, null where the
+    list is null or shorter.  `version` tells lists apart that are stored under one key with
+    different contents; equal rows loaded twice give equal events.
     """
     durations = F.col(ms) if ms else F.lit(None).cast("array<bigint>")
     aligned = F.transform(commands, lambda _c, i: F.get(durations, i).cast("long"))
@@ -139,7 +147,7 @@ def command_events(
         + [
             T.StructField("version", T.LongType()),
             T.StructField("pos", T.LongType()),
-            T.StructField("form", T.StringType()),
+            T.StructField("form", T.BinaryType()),
             T.StructField("ms", T.LongType()),
         ]
         + ([T.StructField("command", T.StringType())] if text else [])
@@ -158,7 +166,7 @@ def command_events(
             starts = pa.array(lists.offsets.to_numpy()[:-1] - (lists.offsets[0].as_py() if len(lists) else 0))
             position = pc.subtract(pa.array(range(len(said)), pa.int64()), starts.take(parents).cast(pa.int64()))
             raw = said.to_pylist()
-            forms = pa.array([cached_form(c) for c in raw], pa.string())
+            forms = pa.array([cached_digest(c) for c in raw], pa.binary())
             columns = [c.take(parents) for c in own] + [position, forms, times.flatten()]
             if text:
                 columns.append(said)

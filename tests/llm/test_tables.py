@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspan.llm import encoding, groups, overlap, packing, pairs, queries, quota, residue, runs
+from quillspan.llm.commands import form_digest
 from tests.llm.test_texts import TICKET, WORK, needs_vocabulary
 
 TURNS = "array<struct<role:string,content:string>>"
@@ -218,6 +219,8 @@ def test_runs_across_partitions(spark, parts, monkeypatch):
     monkeypatch.setattr(df.__class__, "repartitionByRange", lambda self, *c, _f=df.__class__.repartitionByRange: _f(self, parts, *c))
     got = [tuple(r) for r in runs.collapse_runs(df, ["s"]).collect()]
     assert sorted(got) == sorted(want)
+    monkeypatch.setattr(runs, "FAN_IN", 2)  # several levels of the merge
+    assert sorted(tuple(r) for r in runs.collapse_runs(df, ["s"]).collect()) == sorted(want)
     assert runs.collapse_runs(df.limit(0), ["s"]).count() == 0
 
 
@@ -226,7 +229,8 @@ def test_command_events(spark):
     df = spark.createDataFrame(rows, "k string, r int, commands array<string>, cmd_ms array<bigint>")
     got = {(r.k, r.pos): (r.form, r.ms, r.command) for r in runs.command_events(df, ["k", "r"], text=True).collect()}
     assert set(got) == {("a", 0), ("a", 1), ("a", 2), ("a", 3), ("d", 0)}
-    assert got["a", 0] == ("ls", 5, "ls") and got["a", 1][0] is None and got["a", 3] == ("ls", None, "ls ;")
+    own = form_digest("ls")
+    assert got["a", 0] == (own, 5, "ls") and got["a", 1][0] is None and got["a", 3] == (own, None, "ls ;")
 
 
 # --- 5 ------------------------------------------------------------------------------------
