@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from quillspan.session import cut_lineage, spread
 
-ORDERED_TOKENS = 50_000
+ORDER_BITS = 20
 SKETCH_WORDS = 8
 _BITS = 64 * SKETCH_WORDS
 DP_CELLS = 40_000_000
@@ -75,11 +75,10 @@ def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _strings(order: np.ndarray, ranks: np.ndarray):
+def _strings(counts: np.ndarray):
     """The selective end of each class's string: (cls, n, at, token, sketch words) per segment.
 
-    Tokens that are not among the ordered frequent ones come first, by value; those follow
-    from rare to frequent.  The sketch has a bit for each residue of the tokens, set if an
+    Tokens stand from rare to frequent by the count of their cell, in a cell by value.  The sketch has a bit for each residue of the tokens, set if an
     odd number of tokens have it: the bits in which two sketches differ are a lower bound
     of the edit distance.
     """
@@ -90,10 +89,7 @@ def _strings(order: np.ndarray, ranks: np.ndarray):
             for cls, tokens in zip(batch.column(0), batch.column(1), strict=True):
                 own = tokens.values.to_numpy()
                 n = len(own)
-                at = np.searchsorted(order, own)
-                at[at == len(order)] = 0
-                rank = np.where(order[at] == own, ranks[at], -1) if len(order) else np.full(n, -1)
-                string = own[np.lexsort((own, rank))]
+                string = own[np.argsort(counts[own & (len(counts) - 1)], kind="stable")]
                 segments = n - needed(n) + 1
                 odd = np.bincount((own & (_BITS - 1)).astype(np.int64), minlength=_BITS) & 1
                 sketch = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
@@ -153,7 +149,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = 0
         while at < len(rows):
             most = int(size[rows[at]])
-            if most * most > DP_CELLS:  # too long for a band: merge the two sorted strings
+            if most * (most - needed(most)) * 4 > DP_CELLS:  # too many cells even in the band: too long for a band: merge the two sorted strings
                 p = rows[at]
                 common[p] = len(np.intersect1d(a[p], b[p], assume_unique=True))
                 at += 1
@@ -173,17 +169,17 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept.filter(good)
 
 
-def token_order(classes: DataFrame, size: int = ORDERED_TOKENS) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens sorted by value, their ranks): the `size` most frequent tokens, the rarest ranked 0.
+def token_order(classes: DataFrame, bits: int = ORDER_BITS) -> np.ndarray:
+    """How many tokens of all classes fall into each of 2 ** `bits` cells (the low bits of a token).
 
-    Bounded by `size`, 16 bytes each; the order changes the work, never the result.
+    Bounded by the number of cells, 8 bytes each, whatever the corpus; any order does the
+    same for the result, this one puts rare tokens first as far as cells tell them apart.
     """
-    counts = classes.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.where("n > 1").orderBy(F.desc("n"), "token").limit(size).toPandas()
-    tokens = top["token"].to_numpy(dtype=np.int64)
-    ranks = np.arange(len(tokens), dtype=np.int64)[::-1]
-    by_value = np.argsort(tokens)
-    return tokens[by_value], ranks[by_value]
+    cell = F.col("token").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("cell")
+    found = classes.select(F.explode("tokens").alias("token")).groupBy(cell).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    counts = np.zeros(1 << bits, dtype=np.int64)
+    counts[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return counts
 
 
 def split_overlaps(df: DataFrame, key: str, text: Column, is_train: Column, is_eval: Column) -> DataFrame:
@@ -214,10 +210,9 @@ def split_overlaps(df: DataFrame, key: str, text: Column, is_train: Column, is_e
             F.bool_or(F.col("side") == "e").alias("eval"),
         )
     )
-    order, ranks = token_order(classes)
     sketch = ", ".join(f"s{i} bigint" for i in range(SKETCH_WORDS))
     shape = f"cls binary, n int, at int, token bigint, {sketch}"
-    cut = _strings(order, ranks)
+    cut = _strings(token_order(classes))
     evals = classes.where("eval").select("cls", "tokens").mapInArrow(cut, shape).alias("e")
     trains = classes.where("train").select("cls", "tokens").mapInArrow(cut, shape).alias("t")
     n, m = F.col("e.n"), F.col("t.n")

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from quillspan import fixed_values as V
 from quillspan.llm import encoding, groups, overlap, packing, pairs, quota, residue, runs
-from quillspan.plans.sql import _S as BLANKS
 from quillspan.plans.tables import table
 from quillspan.session import cut_lineage
 
+#: white space in the Unicode sense, for character classes of the SQL engine
+BLANKS = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -44,7 +46,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("sample_id_a"), F.greatest(a, b).alias("sample_id_b")).distinct()
 
 
-ORACLE["p1_found"] = f"""with spoken as (
+_OVERLAPS = f"""spoken as (
   select rid, sample_id, split, lower(coalesce(m.content, '')) as said from (
     select rid, sample_id, split, unnest(messages) as m from (
       select row_number() over () as rid, * from (
@@ -57,7 +59,8 @@ both_ways as (
   select e.rid as e, t.rid as t, e.sample_id as a, t.sample_id as b, sum(least(e.n, t.n)) as common
   from counted e join counted t on e.w = t.w and e.split in ('validation', 'test') and t.split = 'train'
     and e.sample_id <> t.sample_id
-  group by all)
+  group by all)"""
+ORACLE["p1_found"] = f"""with {_OVERLAPS}
 select distinct least(a, b) as sample_id_a, greatest(a, b) as sample_id_b
 from both_ways join sizes x on x.rid = e join sizes y on y.rid = t
 where 5 * common >= 4 * x.n and 5 * common >= 4 * y.n"""
@@ -84,6 +87,18 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_SPELLED = "case regexp_replace(lower(source), '[^\\p{L}\\p{N}]', '', 'g') " + " ".join(
+    f"when '{''.join(c for c in name if c.isalnum())}' then '{name}'" for name in V.SOURCES
+) + " when '' then trim(source) else regexp_replace(lower(source), '[^\\p{L}\\p{N}]', '', 'g') end"
+ORACLE["p1_report"] = f"""with {_OVERLAPS},
+hits as (
+  select distinct a, b from both_ways join sizes x on x.rid = e join sizes y on y.rid = t
+  where 5 * common >= 4 * x.n and 5 * common >= 4 * y.n),
+own as (select distinct sample_id as a, split, {_SPELLED} as source from prefixes where split in ('validation', 'test'))
+select split, source, count(distinct (a, b)) as n_pairs, count(distinct a) as n_eval, count(distinct b) as n_train
+from hits join own using (a) group by all"""
+
+
 # --- 2: splits that keep related records together -----------------------------------------
 
 def _repo_links() -> dict:

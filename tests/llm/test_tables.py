@@ -52,7 +52,8 @@ def test_overlaps_against_all_pairs(spark, seed, monkeypatch):
         rows.append((f"k{i}", rng.choice(["train", "test", "validation", None]), [("system", "x"), ("user", " ".join(words[:cut])), ("assistant", "\n".join(words[cut:]))]))
     rows += rows[-10:]
     df = spark.createDataFrame(rows, f"k string, split string, messages {TURNS}").withColumn("tokens", F.lit("clash"))
-    monkeypatch.setattr(overlap, "ORDERED_TOKENS", 20)
+    if seed == 2:  # cells shared by many words
+        monkeypatch.setattr(overlap.token_order, "__defaults__", (4,))
     got = overlap.split_overlaps(df, "k", overlap.spoken_words(F.col("messages")), F.col("split") == "train", F.col("split").isin("validation", "test"))
     assert {tuple(r) for r in got.collect()} == _overlap_by_hand(rows)
     none = overlap.split_overlaps(df.limit(0), "k", overlap.spoken_words(F.col("messages")), F.col("split") == "train", F.col("split") == "test")
