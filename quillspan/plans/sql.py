@@ -146,6 +146,47 @@ left join p on u.source is not distinct from p.source and u.shard = p.shard and
 left join t on u.source is not distinct from t.source and u.shard = t.shard and u.row = t.row
 group by u.source"""
 
+_PICK_COUNT = 100  # shares are hundredths, so of a hundred picks they are the quotas
+_WANTED = {name: share for name, share in (*V.OVERFIT_PHASE_SHARES, *V.OVERFIT_SOURCE_SHARES)}
+_UNMET = ", ".join(
+    f"case when can_{p} then {_WANTED[p]} - len(list_filter(f.s, lambda x: x.phase = '{p}')) else 0 end as d_{p}"
+    for p in V.PHASES
+)
+_FULLEST = "greatest(d_cold, d_pre_edit, d_at_edit)"
+# the serial fold: one step a candidate, the state being the list of picks
+ORACLE["greedy_pick"] = f"""with recursive {_TRAJ}, {_cut_sql('cold')}, {_cut_sql('pre_edit')}, {_cut_sql('at_edit')},
+able as (
+  select e.source, e.shard, e.row, any_value(e.repo) as repo, bool_or(c.rid is not null) as can_cold,
+    bool_or(p.rid is not null and e.first_edit >= 4) as can_pre_edit,
+    bool_or(t.rid is not null and e.first_edit >= 1) as can_at_edit
+  from entries e left join cut_cold c using (rid) left join cut_pre_edit p on p.rid = e.rid
+  left join cut_at_edit t on t.rid = e.rid group by e.source, e.shard, e.row),
+queue as (select *, row_number() over (
+  order by ('0x' || substr(md5(concat_ws('|', 'quillspan', source, shard, row::varchar)), 1, 15))::bigint) as i from able),
+fold as (
+  select 0::bigint as i, []::struct(source varchar, shard varchar, row integer, repo varchar, phase varchar)[] as s
+  union all
+  select i + 1, case when taken is null then s
+    else list_append(s, {{'source': source, 'shard': shard, 'row': row, 'repo': repo, 'phase': taken}}) end
+  from (
+    select *, case when n_source >= most or n_repo >= {dict(V.REPO_CAPS)['overfit']} or {_FULLEST} <= 0 then null
+      when d_cold = {_FULLEST} then 'cold' when d_pre_edit = {_FULLEST} then 'pre_edit' else 'at_edit' end as taken
+    from (
+      select f.i, f.s, q.source, q.shard, q.row, q.repo, {_UNMET},
+        len(list_filter(f.s, lambda x: x.source is not distinct from q.source)) as n_source,
+        len(list_filter(f.s, lambda x: x.repo is not distinct from q.repo)) as n_repo,
+        case {' '.join(f"when q.source = '{name}' then {_WANTED[name]}" for name in V.SOURCES)} else {_PICK_COUNT} end as most
+      from fold f join queue q on q.i = f.i + 1 where len(f.s) < {_PICK_COUNT}))),
+picked as (
+  select unnest(s, max_depth := 2), generate_subscripts(s, 1) - 1 as pick_ord
+  from (select s from fold order by i desc limit 1)),
+cuts as ({' union all '.join(f"select '{p}' as phase, * from cut_{p}" for p in V.PHASES)})
+select distinct c.shard || ':' || c.row || ':' || turn_idx as sample_id, c.phase as phase_wanted,
+  case when edited then 'at_edit' when n_asst <= 2 then 'cold' else 'pre_edit' end as phase_labeled, turn_idx,
+  case when pick_ord % 2 = 0 then {V.HORIZONS[0]} else {V.HORIZONS[1]} end as horizon, c.source, instance_id, c.repo,
+  language, family, first_edit, asst as asst_in_row, n_asst as asst_in_prefix, chars as prefix_chars, pick_ord, n_turns
+from picked k join cuts c on c.phase = k.phase and c.source is not distinct from k.source and c.shard = k.shard and c.row = k.row"""
+
 ORACLE["cold_pick_parity"] = f"""select distinct instance_id, {_COLD} as pick
 from trajectories where instance_id is not null"""
 ORACLE["family_language"] = f"""select distinct instance_id, source, {_FAMILY} as derived_family,
