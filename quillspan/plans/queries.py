@@ -6,7 +6,9 @@ rows; counts are 64-bit.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,11 @@ from quillspan.functions import detect, ids, text, turns
 from quillspan.operators import cutting, expand, masks, meters, pairing, sampling
 from quillspan.operators.judge import judge, keep_drop_counts, reason_histogram
 from quillspan.operators.latest import latest
+from quillspan.plans import cases
 from quillspan.plans.tables import table
-from quillspan.schema import normalized_turns
-from quillspan.session import spread
+from quillspan.schema import JUDGED, PREFIX, ROLLOUT, TRAJECTORY, normalized_turns
+from quillspan.session import ensure_checkpoint_dir, spread
+from quillspan.sources import pool, records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -437,6 +441,84 @@ def pad_batch_long(spark: SparkSession, d: str) -> DataFrame:
     return _batches(_examples(spark, d))
 
 
+@query
+def skipped_examples(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and examples at the operator's length, and the difference."""
+    return masks.skip_counts(_sft(spark, d), _examples(spark, d))
+
+
+# --- built-in cases and files ------------------------------------------------------------
+
+
+@query
+def detector_cases(spark: SparkSession, _d: str) -> DataFrame:
+    """Every detector on commands that set it off and on near misses."""
+    rows = spark.createDataFrame(list(enumerate(cases.COMMANDS)), "id int, c string")
+    c = F.col("c")
+    return rows.select(
+        "id",
+        detect.is_edit(c).alias("edit"),
+        detect.is_verify(c).alias("verify"),
+        detect.is_claim(c).alias("claim"),
+        detect.is_wide_search(c).alias("wide"),
+        detect.is_infra(c).alias("infra"),
+        text.is_submit(c).alias("submit"),
+    )
+
+
+@query
+def rule_cases(spark: SparkSession, _d: str) -> DataFrame:
+    """Every rule of the judge on rollouts that break it and on near misses."""
+    names = [f.name for f in ROLLOUT.fields if f.name in cases.Rollout._fields]
+    rows = [tuple(getattr(r, f.name, None) for f in ROLLOUT.fields) for r in cases.ROLLOUTS]
+    judged = judge(spark.createDataFrame(rows, ROLLOUT).select(*names))
+    return judged.select(*ROLLOUT_KEY, "keep", F.array_join("reasons", "|").alias("reasons"))
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new path below the session's shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def jsonl_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Prefix records written as JSON Lines and read again."""
+    path = _folder(spark, "prefixes")
+    records.write_jsonl(table(spark, d, "prefixes").select(*PREFIX.fieldNames()), path)
+    said = F.transform("messages", lambda m: F.concat(F.coalesce(m["role"], F.lit("-")), F.lit(":"), F.coalesce(m["content"], F.lit("-"))))
+    return records.read_jsonl(spark, path, PREFIX).select(
+        *[c for c in PREFIX.fieldNames() if c not in ("asst_in_row", "asst_in_prefix", "messages")],
+        F.when(F.col("messages").isNotNull(), F.size("messages")).alias("n_turns"),
+        F.md5(F.array_join(said, "|")).alias("said"),
+    )
+
+
+@query
+def split_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Judged rollouts written as kept and dropped ones and read again, each side from its folder."""
+    path = _folder(spark, "judged")
+    wide = [c for c in JUDGED.fieldNames() if c not in (*ROLLOUT_KEY, "keep", "drop", "reasons")]
+    raw = table(spark, d, "rollouts").select(*ROLLOUT_KEY, *wide, "loaded_at")
+    records.write_split(latest(judge(raw), ROLLOUT_KEY).select(*JUDGED.fieldNames()), path)
+    sides = [records.read_split(spark, path, JUDGED, keep) for keep in (True, False)]
+    return sides[0].union(sides[1]).select(
+        *ROLLOUT_KEY, "keep", F.size("reasons").alias("n_reasons"), F.when(F.col("messages").isNotNull(), F.size("messages")).alias("n_messages")
+    )
+
+
+@query
+def pool_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Trajectories written as one folder of shards per source and read again as a pool of sources."""
+    root, rows = _folder(spark, "pool"), table(spark, d, "trajectories")
+    for source in V.SOURCES:
+        own = rows.where(F.col("source") == source).select(*TRAJECTORY.fieldNames())
+        own.write.parquet(f"{root}/{source}/data")
+    found = reduce(DataFrame.unionByName, [pool.read_source(spark, root, s, "part-*.parquet") for s in V.SOURCES])
+    return found.groupBy("source").agg(
+        _count("n"), F.sum(F.when(F.col("messages").isNotNull(), F.size("messages"))).alias("n_turns"), F.count_distinct("instance_id").alias("n_instances")
+    )
+
+
 @query
 def dpo_usable(spark: SparkSession, d: str) -> DataFrame:
     rows = pairing.usable_dpo(table(spark, d, "dpo"))

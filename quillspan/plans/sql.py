@@ -8,6 +8,7 @@ gives an independent formulation.
 from __future__ import annotations
 
 from quillspan import fixed_values as V
+from quillspan.plans import cases
 
 ORACLE: dict[str, str] = {}
 
@@ -445,23 +446,68 @@ rendered as (
 """
 ORACLE["span_mask"] = f"""with {_SPANS} select sample_id, rollout, loaded_at, cast(coalesce(chars, 0) as int) as chars,
   cast(coalesce(cut, 0) as int) as cut, cast(coalesce(learned, 0) as int) as learned from raw left join rendered using (rid)"""
-_WORDS = f"""{_SPANS},
+def _words(most: int) -> str:
+    return f"""{_SPANS},
 words as (
   select rid, n_prefix, i, role, len(regexp_extract_all('<|im_start|>' || role || chr(10) || content || '<|im_end|>', '[^{_S}]+')) as n
   from b),
 placed as (select *, sum(n) over (partition by rid order by i) as upto from words),
 tok as (
-  select rid, least(sum(n), 512) as n, sum(n) as whole,
-    sum(case when i > n_prefix and role = 'assistant' then greatest(0, n - greatest(0, upto - 512)) else 0 end) as learned,
+  select rid, least(sum(n), {most}) as n, sum(n) as whole,
+    sum(case when i > n_prefix and role = 'assistant' then greatest(0, n - greatest(0, upto - {most})) else 0 end) as learned,
     sum(case when i > n_prefix and role = 'assistant' then n else 0 end) as all_learned
   from placed group by rid),
 asked as (select distinct rid from t where m.role = 'user' and not {_ENVELOPE.replace('t.content', "coalesce(m.content, '')")}),
 ex as (select raw.sample_id, raw.rollout, raw.loaded_at, tok.n, tok.learned from raw join tok using (rid)
   join asked using (rid) where whole >= 2 and all_learned > 0)
 """
-ORACLE["sft_tokens"] = f"""with {_WORDS} select sample_id, rollout, loaded_at, cast(n as int) as n,
+
+
+for _name, _most in (("", 512), ("_long", 8192)):
+    ORACLE[f"sft_tokens{_name}"] = f"""with {_words(_most)} select sample_id, rollout, loaded_at, cast(n as int) as n,
   cast(learned as int) as learned from ex"""
-ORACLE["pad_batch"] = f"""with {_WORDS} select sample_id, cast(max(n) as int) as shortest, cast(max(n) as int) as longest,
-  cast(sum((select max(n) from ex e2 where e2.sample_id = ex.sample_id) - n) as bigint) as pads from ex group by sample_id"""
+    ORACLE[f"pad_batch{_name}"] = f"""with {_words(_most)} select sample_id, cast(max(n) as int) as shortest,
+  cast(max(n) as int) as longest, cast(sum((select max(n) from ex e2 where e2.sample_id = ex.sample_id) - n) as bigint) as pads
+  from ex group by sample_id"""
+ORACLE["skipped_examples"] = f"""with {_words(8192)} select (select count(*) from raw) as n_rows,
+  (select count(*) from ex) as n_examples, (select count(*) from raw) - (select count(*) from ex) as n_skipped"""
 ORACLE["dpo_usable"] = """select len(prompt) as n_prompt, len(chosen) as n_chosen, len(rejected) as n_rejected
 from dpo where len(prompt) > 0 and len(chosen) > 0 and len(rejected) > 0"""
+
+
+# --- built-in cases and files --------------------------------------------------------------
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    return str(value) if isinstance(value, int) else _text_literal(value)
+
+
+_CASES = ", ".join(f"({i}, {_literal(c)})" for i, c in enumerate(cases.COMMANDS))
+ORACLE["detector_cases"] = f"""select id, {_is(_EDIT, 'c')} as edit, {_verify('c')} as verify, {_is(_CLAIM, 'c')} as claim,
+  {_is(_WIDE, 'c')} as wide, {_is(_INFRA, 'c')} as infra, {_is(_SUBMIT, 'c')} as submit
+from (select id, coalesce(c, '') as c from (values {_CASES}) t(id, c))"""
+
+
+def _turn_literal(turns) -> str:
+    inner = ", ".join(f"{{'role': {_literal(r)}, 'content': {_literal(c)}}}" for r, c in turns)
+    return f"[{inner}]::struct(role varchar, content varchar)[]"
+
+
+_ROLLED = " union all ".join(
+    f"select {_literal(r.sample_id)} as sample_id, {r.rollout} as rollout, {_literal(r.phase_wanted)}::varchar as phase_wanted, "
+    f"{_literal(r.stopped)}::varchar as stopped, {_turn_literal(r.messages)} as messages, {_turn_literal(r.continuation)} as continuation, "
+    f"[{', '.join(map(_literal, r.commands))}]::varchar[] as commands, null::timestamp as loaded_at"
+    for r in cases.ROLLOUTS
+)
+ORACLE["rule_cases"] = f"""with rollouts as ({_ROLLED}), {_JUDGE.lstrip()} select sample_id, rollout, keep,
+  coalesce(array_to_string(reasons, '|'), '') as reasons from judged"""
+ORACLE["jsonl_round_trip"] = """select sample_id, phase_wanted, phase_labeled, turn_idx, horizon, source, instance_id, repo,
+  language, family, first_edit, prefix_chars, len(messages) as n_turns,
+  md5(array_to_string(list_transform(messages, lambda m: coalesce(m.role, '-') || ':' || coalesce(m.content, '-')), '|')) as said
+from prefixes"""
+ORACLE["split_round_trip"] = f"""with {_JUDGE} select sample_id, rollout, keep, len(reasons) as n_reasons,
+  len(messages) as n_messages from judged"""
+ORACLE["pool_round_trip"] = f"""select source, count(*) as n, sum(len(messages)) as n_turns,
+  count(distinct instance_id) as n_instances from trajectories where source in ({_quoted(V.SOURCES)}) group by source"""
