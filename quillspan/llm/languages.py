@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 # --- fixed values: function words of languages in Latin and Cyrillic script ---------------
 FUNCTION_WORDS: dict[str, str] = {
@@ -64,6 +63,21 @@ for _word, _of in _WEIGHTS.items():
 _FENCES = re.compile(r"```.*?(?:```|\Z)", re.S)
 _INLINE = re.compile(r"`[^`\n]*`|<[^<>\n]{1,80}>")
 _CODE = re.compile(r"[/\\_=<>{}()\[\]\d]|\w\.\w|::|\b[A-Za-z]*[a-z][A-Z]").search
+
+
+class _IsCode(dict):
+    """Word -> whether it looks like code; words of text repeat, so short ones are remembered up to a bound."""
+
+    def __missing__(self, word: str) -> bool:
+        found = _CODE(word) is not None
+        if len(word) <= 40:
+            if len(self) >= 200_000:
+                self.clear()
+            self[word] = found
+        return found
+
+
+_is_code = _IsCode()
 _LABEL = re.compile(r"^\s*(?:THOUGHT|REASONING|PLAN)\s*:", re.I | re.M)
 _WORD = re.compile(r"[^\W\d_]+")
 _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
@@ -72,7 +86,7 @@ _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
 def prose_of(text: str) -> str:
     """A text without code blocks, inline code, tags, paths, identifiers and the thought label."""
     plain = _LABEL.sub(" ", _INLINE.sub(" ", _FENCES.sub(" ", text)))
-    return "\n".join(" ".join(w for w in line.split() if not _CODE(w)) for line in plain.split("\n"))
+    return "\n".join(" ".join([w for w in line.split() if not _is_code[w]]) for line in plain.split("\n"))
 
 
 def language_of(prose: str) -> tuple[str | None, int]:
@@ -88,11 +102,12 @@ def language_of(prose: str) -> tuple[str | None, int]:
                 language = "ja"
             return language, letters * (3 if language in ("zh", "ja", "ko") else 1)
     cyrillic = not prose.isascii() and len(_CYRILLIC.findall(prose)) * 2 > letters
-    score: Counter[str] = Counter()
+    score: dict[str, float] = {}
     for word in words:
-        for language, weight in _WEIGHTS.get(word, {}).items():
-            if (language in ("ru", "uk")) == cyrillic:
-                score[language] += weight
+        if word in _WEIGHTS:
+            for language, weight in _WEIGHTS[word].items():
+                if (language in ("ru", "uk")) == cyrillic:
+                    score[language] = score.get(language, 0.0) + weight
     if not score:
         return ("ru", letters) if cyrillic else (None, letters)
     best = max(score, key=lambda k: (score[k], k))

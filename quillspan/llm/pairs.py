@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -91,15 +93,29 @@ _QUOTED = re.compile(r"[\"“][^\"”\n]*[\"”]")
 _ENVELOPE = re.compile(r"</?(?:returncode|output|tool_response)>|(?<=<returncode>)\d+(?=</returncode>)")
 _VOID = re.compile(r"\b(?:n/?a|none|null|nil|nan|undefined|empty|todo|tbd)\b", re.I)
 _USEFUL = re.compile(r"[^\W_]")
+# a word that none of the marks above can hold
+_PLAINLY_USEFUL = re.compile(
+    r"(?<![`\w+-])(?!(?:thought|reasoning|plan|answer|assistant|response|command|none|null|undefined|empty|todo|returncode|output)\b)[^\W\d_]{4,}\b(?!\s*:)",
+    re.I,
+)
 _QUOTE_MARK = re.compile(r"^\s*(?:>+|[*#-]+)\s?", re.M)
 _WORDS = re.compile(r"\w+")
 _SENTENCES = re.compile(r"(?<=[.!?。！？])\s+|\n+|(?<=[。！？])").split
 _ENDED = tuple(".!?。！？…؟।")
+_CLOSING = {"(": ")", "[": "]", "{": "}", "“": "”", "«": "»", "「": "」", "『": "』", "（": "）", "【": "】"}
+_PAIRED = re.compile(r"(?<![:;=8][-'o])(?<![:;=8])[()\[\]{}“”«»「」『』（）【】]")  # smileys are no brackets
+_INLINE = re.compile(r"`[^`\n]*`")
 _CLOSERS = "\"'”’»)]}*_`」』）"
 
 
+def _visible(text: str) -> str:
+    return text if text.isascii() else text.translate(_ZERO_WIDTH)
+
+
 def _useful(turn: dict) -> bool:
-    text = (turn.get("content") or "").translate(_ZERO_WIDTH)
+    text = _visible(turn.get("content") or "")
+    if _PLAINLY_USEFUL.search(text):
+        return True
     text = _VOID.sub(" ", _FENCE_MARK.sub(" ", _THOUGHT.sub(" ", _ENVELOPE.sub(" ", text))))
     return _USEFUL.search(text) is not None
 
@@ -113,27 +129,48 @@ def _words(text: str) -> list[str]:
     return _WORDS.findall(_QUOTE_MARK.sub("", _THOUGHT.sub(" ", text)).lower())
 
 
-def is_copy(said: list[str], sources: list[str]) -> bool:
+@dataclass(frozen=True)
+class Source:
+    """A text that may have been copied: its words in order and counted, and how short a copy can be."""
+
+    words: list[str]
+    bag: Counter[str]
+    least_chars: int
+
+    @classmethod
+    def of(cls, text: str) -> Source | None:
+        words = _words(text)
+        if not words:
+            return None
+        shortest = sorted(map(len, words))[: math.ceil(COPY_SHARE * len(words))]
+        return cls(words, Counter(words), sum(shortest) + len(shortest) - 1)
+
+    def copied_by(self, words: list[str]) -> bool:
+        """The texts begin alike for `COPY_SHARE` of the longer, or have that share of words in common."""
+        n, m = len(self.words), len(words)
+        least = COPY_SHARE * max(m, n)
+        if min(m, n) < least:
+            return False
+        prefix = next((i for i, (a, b) in enumerate(zip(self.words, words, strict=False)) if a != b), min(m, n))
+        return prefix >= least or (self.bag & Counter(words)).total() >= least
+
+
+def is_copy(said: list[str], sources: list[Source]) -> bool:
     """What the assistant says, commands aside, is one of the sources, give or take a wrapping.
 
-    Of the words of each at least `COPY_SHARE` stand in the other; looked at are the whole
-    answer and each turn, whatever the other turns do, with and without commands.
+    Looked at are the whole answer and each turn, whatever the other turns do, with and
+    without commands.
     """
-    known = [x for x in map(_words, sources) if x]
-    if not said or not known:
+    if not said or not sources:
         return False
-    bags = [(len(x), Counter(x)) for x in known]
-    least = COPY_SHARE * min(n for n, _ in bags)
+    least = min(s.least_chars for s in sources)
     texts = ["\n".join(said), *(said if len(said) > 1 else ())]
+    texts = [x for x in texts if len(x) >= least]
     for text in (*texts, *(_FENCED.sub(" ", x) for x in texts if "```" in x)):
-        if len(text) + 1 < 2 * least:  # a word and a blank take two characters
-            continue
-        words = _words(text)
-        m = len(words)
-        near = [(n, b) for n, b in bags if min(m, n) >= COPY_SHARE * max(m, n)]
-        a = Counter(words) if near else Counter()
-        if any((a & b).total() >= COPY_SHARE * max(m, n) for n, b in near):
-            return True
+        if len(text) >= least:
+            words = _words(text)
+            if any(s.copied_by(words) for s in sources):
+                return True
     return False
 
 
@@ -144,25 +181,36 @@ def is_refusal(said: list[str]) -> bool:
     """
     if not said:
         return False
-    last = said[-1].translate(_ZERO_WIDTH)
+    last = _visible(said[-1])
     if any(not _IDLE.fullmatch(body.strip()) for body in _FENCE_BODY.findall(last)):
         return False
     prose = _QUOTED.sub(" ", _FENCED.sub(" ", last))
     return "```" not in prose and _REFUSAL.search(prose) is not None
 
 
+def opens_without_closing(prose: str) -> bool:
+    """The last paragraph opens a bracket or a directed quote that nothing after it closes."""
+    depth: list[str] = []
+    for mark in _PAIRED.findall(_INLINE.sub(" ", prose.rsplit("\n\n", 1)[-1])):
+        if mark in _CLOSING:
+            depth.append(_CLOSING[mark])
+        elif mark in depth:
+            del depth[len(depth) - 1 - depth[::-1].index(mark) :]
+    return bool(depth)
+
+
 def is_truncated(said: list[str]) -> bool:
-    """The last assistant turn leaves a fence open or its prose without an end."""
+    """The last assistant turn leaves a fence, bracket or quote open or its prose without an end."""
     if not said:
         return False
-    last = said[-1].translate(_ZERO_WIDTH).rstrip()
+    last = _visible(said[-1]).rstrip()
     if last.count("```") % 2:
         return True
     tail = last.rsplit("```", 1)[-1].strip() if "```" in last else last
     if not tail:
         return False
     bare = tail.rstrip(_CLOSERS + " ")
-    if not bare.endswith(_ENDED):
+    if not bare.endswith(_ENDED) or opens_without_closing(tail):
         return True
     word = bare.split()[-1].rstrip(".")
     return "/" in word and bare.endswith(".") and "." not in word.rsplit("/", 1)[-1] and "_" in word.rsplit("/", 1)[-1]
@@ -186,15 +234,23 @@ def other_language(said: list[str], ticket: str) -> bool:
     return other > same
 
 
-def defects(ticket: str, last_message: str, answer: list[dict] | None) -> list[str]:
-    """Every defect of one answer, in the order of the rules; the first is the one it is known by."""
+def sources_of(*texts: str) -> list[Source]:
+    """What each different text, if it has words, is compared as."""
+    return [s for s in map(Source.of, dict.fromkeys(texts)) if s]
+
+
+def defects(ticket: str, last_message: str, answer: list[dict] | None, sources: list[Source] | None = None) -> list[str]:
+    """Every defect of one answer, in the order of the rules; the first is the one it is known by.
+
+    `sources` can be passed where several answers to one prompt are looked at.
+    """
     answer = [t for t in answer or [] if t]
     if is_empty(answer):
         return ["empty"]
     said = [t.get("content") or "" for t in answer if (t.get("role") or "").strip().lower() == "assistant"]
     said = [t for t in said if _useful({"content": t})] or said
     out = []
-    if is_copy(said, [ticket, last_message]):
+    if is_copy(said, sources if sources is not None else sources_of(ticket, last_message)):
         out.append("copy")
     if is_refusal(said):
         out.append("refusal")
@@ -238,8 +294,9 @@ def defective_answers(
             tickets, finals, *answers = (c.to_pylist() for c in batch.columns[n_keys:])
             rows, sides_out, kinds, places = [], [], [], []
             for i, (asked, last) in enumerate(zip(tickets, finals, strict=True)):
+                sources = sources_of(asked, last)
                 for side, column in zip(sides, answers, strict=True):
-                    for place, kind in enumerate(defects(asked, last, column[i]), start=1):
+                    for place, kind in enumerate(defects(asked, last, column[i], sources), start=1):
                         rows.append(i)
                         sides_out.append(side)
                         kinds.append(kind)

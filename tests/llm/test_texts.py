@@ -233,7 +233,7 @@ def test_the_penalty_takes_effect():
 
 def test_damaged_fences_still_hold_code():
     assert residue.content_lines("a\n`\t\t``html\n<noscript>Please enable JavaScript</noscript>\n```\nb") == ["a", "b"]
-    assert residue.content_lines("`x` / `y` `z` and more") == ["`x` / `y` `z` and more"]
+    assert residue.content_lines("`x` / `y` `z` and more") == ["`` / `` `` and more"]
 
 
 def test_thresholds():
@@ -251,3 +251,47 @@ def test_marked_pieces_of_long_sentences():
     quoted = line.replace("%version%", "`<%= title %>`")
     assert residue.segments(quoted)[1] == "`<%= title %>`" and residue.kind_of(quoted) is None
     assert residue.segments("Title: {{ title }}") == ["Title: {{ title }}"]
+
+
+@pytest.mark.parametrize(
+    ("tail", "want"),
+    [
+        ("The call foo(bar, [1, 2. It is (see below.", True),
+        ("He wrote “the rows are gone.", True),
+        ("Die Meldung «fertig. Danach nichts.", True),
+        ("The call foo(bar, [1, 2]) is right (see below).", False),
+        ("All done :(.", False),
+        ("a) first, b) second.", False),
+        ("`foo(` is what the log says.", False),
+        ("An open ( above.\n\nThe next paragraph is whole.", False),
+    ],
+)
+def test_open_brackets_and_quotes(tail, want):
+    assert pairs.opens_without_closing(tail) == want
+    assert ("truncated" in pairs.defects(TICKET, "", answer(WORK, "THOUGHT: " + tail))) == want
+
+
+def test_copied_prefix_and_sources():
+    source = pairs.Source.of("one two three four five six seven eight nine ten")
+    assert source.copied_by("one two three four five six seven".split())
+    assert not source.copied_by("one two three four five six".split())
+    assert source.copied_by("ten nine eight seven six five four three".split())
+    assert pairs.Source.of("--") is None and len(pairs.sources_of("a b", "a b", "")) == 1
+
+
+@pytest.mark.parametrize(
+    "said",
+    [
+        "I'm afraid I cannot assist with that request.",
+        "I will have to decline this one.",
+        "That is not something I am able to do.",
+        "Es tut mir leid, dabei kann ich nicht helfen.",
+        "Je ne peux malheureusement pas vous aider avec cela.",
+        "Lo siento, no puedo ayudar con esto.",
+        "Desculpe, não posso ajudar com isso.",
+        "Извините, я не могу выполнить эту задачу.",
+        "很抱歉，我无法协助处理这个请求。",
+    ],
+)
+def test_refusals_in_other_words(said):
+    assert pairs.is_refusal([said])
