@@ -12,6 +12,8 @@ from quillspan.operators.ordinals import with_ordinal
 from quillspan.session import cut_lineage
 
 EDGES_PER_TASK = 500_000
+MOST_SPLITS = 10_000
+BROADCAST_STEPS = 100_000
 
 
 def repo_key(repo: Column) -> Column:
@@ -144,11 +146,13 @@ def assign_groups(members: DataFrame, group: str, targets: DataFrame) -> DataFra
     """(group, split): every group whole in one split, sizes near the shares of `targets` (split, share).
 
     `members` has one row per record.  The driver sees one row per distinct group size
-    (fewer than the square root of twice the records) and the splits; which group of a
-    size goes where follows from its position among them, computed without collecting
-    groups.  Equal input gives an equal assignment.
+    (fewer than the square root of twice the records) and the splits (at most 10,000,
+    checked); which group of a size goes where follows from its position among them,
+    computed without collecting groups.  Equal input gives an equal assignment.
     """
-    shares = [(r.split, float(r.share)) for r in targets.limit(1000).collect()]
+    shares = [(r.split, float(r.share or 0)) for r in targets.limit(MOST_SPLITS + 1).collect()]
+    if len(shares) > MOST_SPLITS or not sum(share for _, share in shares) > 0:
+        raise ValueError(f"need between 1 and {MOST_SPLITS} splits whose shares sum to more than 0")
     sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
     ranked = cut_lineage(with_ordinal(sizes, ["size", group], "rank", within=["size"]))
     histogram = [(r.size_, r.n) for r in ranked.groupBy(F.col("size").alias("size_")).agg(F.count(F.lit(1)).alias("n")).collect()]
@@ -161,8 +165,9 @@ def assign_groups(members: DataFrame, group: str, targets: DataFrame) -> DataFra
     spark = members.sparkSession
     steps = spark.createDataFrame(plan, "size bigint, first bigint, beyond bigint, split string")
     hit = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("beyond"))
-    # one row per group size and split: bounded like the histogram
-    return ranked.join(F.broadcast(steps), "size").where(hit).select(group, "split")
+    if len(plan) <= BROADCAST_STEPS:  # else the planner's choice, with its care for skewed sizes
+        steps = F.broadcast(steps)
+    return ranked.join(steps, "size").where(hit).select(group, "split")
 
 
 def grouped_split(df: DataFrame, key: str, keys: dict[str, Column], targets: DataFrame) -> DataFrame:

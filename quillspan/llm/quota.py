@@ -87,7 +87,7 @@ def quota_sample(
     pool = cut_lineage(labelled(df, targets, key, labels))
     total = pool.select(key).distinct().count()
     observed = pool.groupBy(*labels).agg(F.count(F.lit(1)).alias("available"))
-    exact = F.col("share").cast("decimal(28,12)") * F.lit(total).cast("decimal(9,0)" if total < 10**9 else "decimal(18,0)")
+    exact = F.col("share").cast("decimal(18,12)") * F.lit(total).cast("decimal(18,0)")  # decimal(37,12), exact at any size
     wanted = F.ceil(exact / F.lit(sample_share)).cast("long")
     cells = (
         targets.select(*labels, "share", "min_rows")

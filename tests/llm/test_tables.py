@@ -178,6 +178,14 @@ def test_rows_without_a_key_tie_splits(spark):
     assert all(roots[f"o__p{i}"] == roots[f"o__p{i + 20}"] for i in range(20))
 
 
+def test_any_number_of_splits_is_used(spark):
+    members = spark.createDataFrame([(f"g{i}", i) for i in range(1200)], "root string, i int")
+    targets = spark.createDataFrame([(f"s{i:04d}", 1 / 1200) for i in range(1200)], "split string, share double")
+    assert groups.assign_groups(members, "root", targets).select("split").distinct().count() == 1200
+    with pytest.raises(ValueError):
+        groups.assign_groups(members, "root", targets.limit(0))
+
+
 # --- 3 ------------------------------------------------------------------------------------
 
 
