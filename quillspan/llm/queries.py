@@ -137,6 +137,32 @@ def p2_splits(spark: SparkSession, d: str) -> DataFrame:
     return groups.grouped_split(rows, "sample_id", _repo_links(), table(spark, d, "split_targets"))
 
 
+@query
+def p2_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of `p2_splits`: every record once, no repository or ticket torn, shares met up to the largest group."""
+    rows = table(spark, d, "prefixes").select("sample_id", "repo", "instance_id")
+    placed = cut_lineage(p2_splits(spark, d))
+    links = groups.linked(rows.where("sample_id is not null"), {"sample": F.col("sample_id"), **_repo_links()})
+    torn = (
+        links.join(placed.select(F.concat(F.lit("sample="), F.col("sample_id")).alias("a"), "split"), "a")
+        .groupBy("b")
+        .agg(F.count_distinct("split").alias("n"))
+        .agg(F.count_if(F.col("n") > 1).alias("n_torn"))
+    )
+    whole = groups.components(groups.linked(rows, {"sample": F.col("sample_id"), **_repo_links()}))
+    largest = whole.where("node like 'sample=%'").groupBy("root").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"))
+    once = placed.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sample_id").alias("n_records")).first()
+    sizes = placed.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    off = F.abs(F.coalesce("n", F.lit(0)) - F.col("share") * F.lit(once.n_records)) > F.lit(largest.first().most or 0)
+    n_far = table(spark, d, "split_targets").join(sizes, "split", "left").where(off).count()
+    row = (once.n_rows, once.n_records, torn.first().n_torn, n_far)
+    return spark.createDataFrame([row], "n_rows bigint, n_records bigint, n_torn bigint, n_far bigint")
+
+
+ORACLE["p2_audit"] = """select count(distinct sample_id) as n_rows, count(distinct sample_id) as n_records,
+  0::bigint as n_torn, 0::bigint as n_far from prefixes"""
+
+
 # --- 3: broken prompt and response pairs ---------------------------------------------------
 
 _PAIR = ["sample_id", "chosen_rollout", "rejected_rollout"]
@@ -207,6 +233,20 @@ def p5_cells(spark: SparkSession, d: str) -> DataFrame:
     return _quota(spark, d).cells
 
 
+@query
+def p5_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The sample counted by cell, keys of the sample twice in a cell, and keys that are not of their cell."""
+    own = _quota(spark, d)
+    rows = table(spark, d, "prefixes").select("sample_id", *_CELL)
+    known = quota.labelled(rows, table(spark, d, "quota_targets"), "sample_id", _CELL).withColumn("known", F.lit(True))
+    marked = own.sample.join(known, ["sample_id", *_CELL], "left")
+    return marked.groupBy(*_CELL).agg(
+        F.count(F.lit(1)).alias("drawn"),
+        (F.count(F.lit(1)) - F.count_distinct("sample_id")).alias("n_twice"),
+        F.count_if(F.col("known").isNull()).alias("n_foreign"),
+    )
+
+
 _POOL = r"""pool as (
   select distinct p.sample_id, a.phase_wanted, b.source from prefixes p
   join (select distinct phase_wanted, regexp_replace(lower(phase_wanted), '[^a-z0-9]', '', 'g') as k from quota_targets) a
@@ -223,6 +263,9 @@ ORACLE["p5_found"] = f"with {_POOL} select phase_wanted, source from cells where
 ORACLE["p5_cells"] = f"""with {_POOL} select *, least(target, available) as drawn,
   target - least(target, available) as deficit from cells"""
 
+ORACLE["p5_audit"] = f"""with {_POOL} select phase_wanted, source, least(target, available) as drawn, 0::bigint as n_twice,
+  0::bigint as n_foreign from cells where least(target, available) > 0"""
+
 
 # --- 6: encoding of the corpus ------------------------------------------------------------
 
@@ -246,6 +289,35 @@ def p7_summary(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_summary(p7_containers(spark, d))
 
 
+@query
+def p7_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of `p7_containers` for each capacity.
+
+    Documents that are there, pieces of whole documents, documents whose pieces do not add up,
+    containers that are too full or tell a wrong free space, and whether nine tenths are filled.
+    """
+    sizes = cut_lineage(encoding.token_counts(table(spark, d, "documents"), "doc_id", "text"))
+    specs = table(spark, d, "pack_specs").select("spec", "capacity")
+    packed = cut_lineage(packing.pack(sizes, specs, "doc_id"))
+    end = F.col("start") + F.col("tokens")
+    per_doc = packed.groupBy("spec", "doc_id").agg(
+        F.sum("tokens").alias("got"), F.max(end).alias("end"), F.count(F.lit(1)).alias("pieces")
+    )
+    per_doc = per_doc.join(sizes, "doc_id").join(F.broadcast(specs), "spec")
+    whole = (F.col("got") == F.col("tokens")) & (F.col("end") == F.col("tokens"))
+    whole = whole & (F.col("pieces") == F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.col("capacity"))))
+    docs = per_doc.groupBy("spec").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(~whole).alias("n_broken"))
+    bins = packed.groupBy("spec", "container").agg(F.sum("tokens").alias("used"), F.min("free").alias("a"), F.max("free").alias("b"))
+    bins = bins.join(F.broadcast(specs), "spec")
+    fits = (F.col("used") <= F.col("capacity")) & (F.col("a") == F.col("b")) & (F.col("used") + F.col("a") == F.col("capacity"))
+    filled = F.sum("used") >= 0.9 * F.sum("capacity")
+    return docs.join(bins.groupBy("spec").agg(F.count_if(~fits).alias("n_wrong"), filled.alias("filled")), "spec")
+
+
+ORACLE["p7_audit"] = """select spec, (select count(distinct doc_id) from documents) as n_docs, 0::bigint as n_broken,
+  0::bigint as n_wrong, true as filled from pack_specs"""
+
+
 # --- 8: template residue and error pages ---------------------------------------------------
 
 
