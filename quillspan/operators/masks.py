@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quillspan import fixed_values as V
 from quillspan.functions.text import strip_blank
 from quillspan.functions.turns import content_of, or_empty
+from quillspan.operators.ordinals import with_ordinal
 from quillspan.schema import TOKENS
 
 #: gives (ids, [(start, end) in characters]) of a text
@@ -181,6 +182,16 @@ def skip_counts(sft: DataFrame, examples: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b)).withColumn("n_skipped", F.col("n_rows") - F.col("n_examples"))
 
 
+def batched(examples: DataFrame, order: list[str], rows: int, name: str = "batch") -> DataFrame:
+    """Add `name`: the number of the batch of `rows` examples that a row falls into in `order`; the last may be short.
+
+    Positions come from range partitions.  `order` must identify rows for batches to be the
+    same again.  An empty table stays empty.
+    """
+    placed = with_ordinal(examples, order, "__at")
+    return placed.withColumn(name, F.floor(F.col("__at") / rows).cast("long")).drop("__at")
+
+
 def padded(examples: DataFrame, batch: str, pad_id: int) -> DataFrame:
     """Rows right-padded to the longest of their `batch`: ids with `pad_id`, mask with 0, labels with -100.
 

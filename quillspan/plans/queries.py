@@ -441,6 +441,16 @@ def pad_batch_long(spark: SparkSession, d: str) -> DataFrame:
     return _batches(_examples(spark, d))
 
 
+@query
+def pad_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of eight examples each, in the order of their keys, padded."""
+    batches = masks.batched(_examples(spark, d), [*ROLLOUT_KEY, "loaded_at"], 8)
+    return masks.padded(batches, "batch", 0).groupBy("batch").agg(
+        _count("rows"), F.min(F.size("input_ids")).alias("shortest"), F.max(F.size("labels")).alias("longest"),
+        F.sum(F.size(F.filter("attention_mask", lambda x: x == 0))).alias("pads"),
+    )
+
+
 @query
 def skipped_examples(spark: SparkSession, d: str) -> DataFrame:
     """Rows and examples at the operator's length, and the difference."""

@@ -469,6 +469,11 @@ for _name, _most in (("", 512), ("_long", 8192)):
     ORACLE[f"pad_batch{_name}"] = f"""with {_words(_most)} select sample_id, cast(max(n) as int) as shortest,
   cast(max(n) as int) as longest, cast(sum((select max(n) from ex e2 where e2.sample_id = ex.sample_id) - n) as bigint) as pads
   from ex group by sample_id"""
+ORACLE["pad_rows"] = f"""with {_words(8192)}, numbered as (
+  select n, (row_number() over (order by sample_id nulls first, rollout nulls first, loaded_at nulls first) - 1) // 8 as batch from ex)
+select batch, count(*) as rows, cast(max(n) as int) as shortest, cast(max(n) as int) as longest,
+  cast(sum(most - n) as bigint) as pads
+from (select *, max(n) over (partition by batch) as most from numbered) group by batch"""
 ORACLE["skipped_examples"] = f"""with {_words(8192)} select (select count(*) from raw) as n_rows,
   (select count(*) from ex) as n_examples, (select count(*) from raw) - (select count(*) from ex) as n_skipped"""
 ORACLE["dpo_usable"] = """select len(prompt) as n_prompt, len(chosen) as n_chosen, len(rejected) as n_rejected

@@ -337,6 +337,8 @@ def test_padding(spark):
     df = spark.createDataFrame(rows, "b string, input_ids array<int>, attention_mask array<int>, labels array<int>")
     got = {tuple(r.input_ids): (r.attention_mask, r.labels) for r in masks.padded(df, "b", 0).collect()}
     assert got[4, 0, 0] == ([1, 0, 0], [4, -100, -100]) and got[5,] == ([1], [5])
+    numbered = {tuple(r.input_ids): r.batch for r in masks.batched(df, ["input_ids"], 2).collect()}
+    assert numbered == {(1, 2, 3): 0, (4,): 0, (5,): 1} and masks.batched(df.limit(0), ["b"], 2).count() == 0
 
 
 def test_usable_dpo(spark):
