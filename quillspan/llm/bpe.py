@@ -171,21 +171,25 @@ class ByteBPE:
     def encode_batch(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets of each text: one more than texts)."""
         numbers, counts = self._chunks(texts)
-        size = np.array(self._size, dtype=np.int64)[numbers]
-        first = np.array(self._start, dtype=np.int64)[numbers]
+        size = _view(self._size)[numbers].astype(np.int64)
+        first = _view(self._start)[numbers]
         ends = np.concatenate(([0], np.cumsum(size)))
         where = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
-        flat = np.array(self._flat, dtype=np.int32)
-        return flat[where], ends[np.concatenate(([0], np.cumsum(counts)))]
+        return _view(self._flat)[where], ends[np.concatenate(([0], np.cumsum(counts)))]
 
     def count_batch(self, texts: Iterable[str | None]) -> np.ndarray:
         """Number of ids of each text."""
         numbers, counts = self._chunks(texts)
-        size = np.array(self._size, dtype=np.int64)[numbers]
+        size = _view(self._size)[numbers].astype(np.int64)
         ends = np.concatenate(([0], np.cumsum(size)))
         return np.diff(ends[np.concatenate(([0], np.cumsum(counts)))])
 
 
+def _view(numbers: array) -> np.ndarray:
+    """The numbers without a copy; drop it before they grow."""
+    return np.frombuffer(numbers, dtype=numbers.typecode) if len(numbers) else np.zeros(0, dtype=numbers.typecode)
+
+
 _CUT = re.compile(r"(?<!\s) ").split
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -13,6 +15,18 @@ from quillspan.llm.bpe import DEFAULT_VOCABULARY, encoder
 from quillspan.session import spread
 
 
+def _shipped(df: DataFrame, vocabulary: str) -> Callable[[], str]:
+    """Send a vocabulary of this machine to the workers; gives the path that a worker reads it at."""
+    if os.path.exists(vocabulary):
+        df.sparkSession.sparkContext.addFile(os.path.realpath(vocabulary))
+    sent = os.path.basename(os.path.realpath(vocabulary))
+
+    def path() -> str:
+        return vocabulary if os.path.exists(vocabulary) else SparkFiles.get(sent)
+
+    return path
+
+
 def token_ids(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """`key` and `ids`, the token ids of `text` as an array of integers; one row per input row.
 
@@ -22,9 +36,10 @@ def token_ids(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCA
     """
     rows = spread(df.select(key, text))
     out = T.StructType([rows.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
+    path = _shipped(df, vocabulary)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(vocabulary)
+        bpe = encoder(path())
         for batch in batches:
             flat, offsets = bpe.encode_batch(batch.column(1).to_pylist())
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
@@ -37,9 +52,10 @@ def token_counts(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_V
     """`key` and `tokens`, the number of ids `token_ids` would give."""
     rows = spread(df.select(key, text))
     out = T.StructType([rows.schema[key], T.StructField("tokens", T.LongType(), False)])
+    path = _shipped(df, vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(vocabulary)
+        bpe = encoder(path())
         for batch in batches:
             n = bpe.count_batch(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n)], names=[key, "tokens"])
