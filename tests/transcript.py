@@ -1,8 +1,8 @@
 """A hand-written transcript: a stale cache entry is looked for, found and mended by the fourth command."""
 
 COMMANDS = (
-    "ls -R cache",
     "go test ./cache -run Expire",
+    "ls -R cache",
     "awk 'NR>=40 && NR<=75' cache/expire.go",
     "perl -0pi -e 's/<= now/< now/' cache/expire.go && sed -i '3d' cache/notes.txt",
     "git diff --stat",
