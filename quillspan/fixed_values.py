@@ -103,7 +103,7 @@ DPO_RECIPE = {
     "epochs": 1,
 }
 DO_NOT = (
-    "train embed_tokens / lm_head / layernorms",
-    "edit genesis tokenizer or chat_template",
-    "SFT the whole mini-coder dump",
+    "train embeddings, the output head or layer norms",
+    "edit the base model's tokenizer or chat template",
+    "train on a whole source instead of the rows packed from it",
 )
